@@ -16,6 +16,12 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
+def base64_text(text) -> "Column":
+    """Standard base64 of UTF-8 text on one line. Spark 4 wraps ``base64()``
+    output every 76 characters by default; the transport format does not."""
+    return F.replace(F.base64(F.encode(text, "UTF-8")), F.lit("\r\n"), F.lit(""))
+
+
 def decode_payload(df: DataFrame, column: str = "data", alias: str = "payload") -> DataFrame:
     """base64 text -> UTF-8 text (invalid base64 -> NULL)."""
     return df.withColumn(alias, F.try_to_binary(F.col(column), F.lit("base64")).cast("string"))
@@ -128,6 +134,6 @@ def to_json_records(df: DataFrame, columns: list[str] | None = None,
     """
     cols = list(columns or [c for c in df.columns if c != record_id])
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]))
-    data = F.base64(F.encode(text, "UTF-8")) if encode else text
+    data = base64_text(text) if encode else text
     keep = [F.col(record_id)] if record_id and record_id in df.columns else []
     return df.select(*keep, F.lit("Ok").alias("result"), data.alias("data"))

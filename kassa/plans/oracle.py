@@ -278,18 +278,20 @@ def sql_cast_numeric():
              f"FROM lineitem")
     cols = []
     for c in ("t_price", "t_negative", "t_exponent", "t_fraction", "t_text"):
-        cols += [f"{long_of(c)} AS {c}_long", f"TRY_CAST(trim({c}) AS DOUBLE) AS {c}_double"]
+        cols += [f"CAST({long_of(c)} AS VARCHAR) AS {c}_long",
+                 f"TRY_CAST(trim({c}) AS DOUBLE) AS {c}_double"]
     return f"WITH texts AS ({texts}) SELECT l_orderkey, l_linenumber, {', '.join(cols)} FROM texts"
 
 
 def sql_currency_parse():
     u, s = P + "LineItem_UnitPrice", P + "LineItem_SalePrice"
+    grouped = f"'$' || format('{{:,.2f}}', CAST(substring({s}, 2) AS DECIMAL(12,2)))"
     return _with(STAGED) + (
         f"SELECT {u}, {s}, {money_of(u, 'float')} AS unit_float, "
         f"{money_of(s, 'float')} AS sale_float, "
         f"CAST({money_of(u, 'decimal')} AS DOUBLE) AS unit_decimal, "
         f"CAST({money_of(s, 'decimal')} AS DOUBLE) AS sale_decimal, "
-        f"CAST(NULL AS FLOAT) AS grouped_float FROM staged")
+        f"{money_of(grouped, 'float')} AS grouped_float FROM staged")
 
 
 def sql_date_parts():

@@ -184,9 +184,9 @@ def documents_with_item_arrays(staged: DataFrame) -> DataFrame:
 def envelopes(staged: DataFrame) -> DataFrame:
     """Stream records: ``recordId``, the ``arrival`` time (the source
     timestamp text) and ``data``, the base64 of the JSON document."""
-    from kassa.operators.nested import nest_staging
+    from kassa.operators.nested import base64_text, nest_staging
     docs = nest_staging(staged.select(record_id(staged).alias("recordId"),
                                       F.col("RetailTxnData_SourceTimestamp").alias("arrival"),
                                       *staged.columns))
     text = F.to_json(F.struct("RetailTxnData"))
-    return docs.select("recordId", "arrival", F.base64(F.encode(text, "UTF-8")).alias("data"))
+    return docs.select("recordId", "arrival", base64_text(text).alias("data"))
