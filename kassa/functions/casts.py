@@ -13,7 +13,8 @@ from pyspark.sql import Column, functions as F
 ColumnOrName = Column | str
 
 # Text a non-ANSI integral cast accepts: optional sign, digits, optional
-# fraction (dropped, not rounded). No exponent. '.5' is 0, '5.' is 5.
+# fraction (dropped, not rounded). No exponent. '.5' is 0, '5.' is 5, a lone
+# '.' is 0 while a lone sign is NULL.
 _INTEGRAL = r"^([+-]?)([0-9]*)(\.[0-9]*)?$"
 
 
@@ -28,9 +29,9 @@ def lenient_long(c: ColumnOrName) -> Column:
     plain = t.try_cast("bigint")
     sign = F.regexp_extract(t, _INTEGRAL, 1)
     digits = F.regexp_extract(t, _INTEGRAL, 2)
-    has_digit = t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$")
+    integral_text = t.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]*)$")
     fractional = F.when(
-        has_digit,
+        integral_text,
         F.concat(sign, F.when(digits == "", F.lit("0")).otherwise(digits)).try_cast("bigint"),
     )
     return F.coalesce(plain, fractional)

@@ -61,7 +61,7 @@ staged AS (
 def long_of(x: str) -> str:
     """Non-ANSI text -> bigint: sign and integer digits, fraction dropped."""
     t = f"trim({x})"
-    return (f"(CASE WHEN regexp_full_match({t}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)') "
+    return (f"(CASE WHEN regexp_full_match({t}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]*)') "
             f"THEN TRY_CAST(regexp_extract({t}, '^([+-]?)', 1) || "
             f"CASE WHEN regexp_extract({t}, '^[+-]?([0-9]*)', 1) = '' THEN '0' "
             f"ELSE regexp_extract({t}, '^[+-]?([0-9]*)', 1) END AS BIGINT) END)")

@@ -19,6 +19,7 @@ from kassa.functions import casts, derive
 from kassa.operators import aggregate, clean, dedup, enrich, merge, nested, trends
 from kassa.schemas import DEDUP_KEYS_DAILY, transaction_schema
 from kassa.session import materialize
+from kassa.sinks import stream_files
 from kassa.sources import testmap
 
 # Fixed reference instant for ``processing_delay`` so results are repeatable.
@@ -291,12 +292,8 @@ def q_raw_archive_keys(spark, d):
 
 
 def q_raw_archive_latest(spark, d):
-    rows = _archive_rows(spark, d)
-    latest = dedup.mark_duplicates(
-        rows.select("archive_key", "Region", "StoreNo", "invoiceprocess_date", "InvoiceNo",
-                    "arrival", "payload"),
-        keys=["Region", "StoreNo", "invoiceprocess_date", "InvoiceNo"],
-        order=["arrival", "payload"], keep="latest", tiebreak=False, column="_rn")
+    valid, _ = nested.split_valid(_parsed(spark, d))
+    latest = stream_files.archive_latest(stream_files.archive_rows(valid))
     return latest.select("archive_key", "arrival", "payload")
 
 

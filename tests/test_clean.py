@@ -1,0 +1,75 @@
+"""Typing, fills and derived columns on hand-made edge rows."""
+
+from pyspark.sql import functions as F
+
+from kassa.operators import clean
+from kassa.schemas import STAGING_COLUMNS, STAGING_SCHEMA
+
+
+def staged_row(spark, **over):
+    base = {c: None for c in STAGING_COLUMNS}
+    base.update({f"RetailTxnData_{k}": v for k, v in over.items()})
+    return spark.createDataFrame([tuple(base[c] for c in STAGING_COLUMNS)], STAGING_SCHEMA)
+
+
+def test_type_conversion_schema_and_trim(spark, ansi):
+    df = staged_row(spark, InvoiceNo=" 12.9 ", InvoiceDateTime=" 2024-03-05 06:07:08 ",
+                    StoreNo=" 7 ", Region="North America ", LineItem_Quantity=" 3 ",
+                    LineItem_UnitPrice="$4.50", LineItem_SalePrice="$13.50",
+                    Customer_CustomerID="abc")
+    out = clean.type_conversion(df)
+    assert out.columns == clean.CLEAN_COLUMNS
+    types = dict(out.dtypes)
+    assert types["invoiceno"] == "bigint" and types["invoicets"] == "timestamp"
+    assert types["invoicedate"] == "date" and types["invoice_year"] == "int"
+    assert types["lineitem_quantity"] == "double" and types["lineitem_unitprice"] == "float"
+    r = out.collect()[0]
+    assert r.invoiceno == 12 and r.storeno == "7" and r.region == "North America"
+    assert (r.invoice_year, r.invoice_month) == (2024, 3)
+    assert r.lineitem_quantity == 3.0 and abs(r.lineitem_saleprice - 13.5) < 1e-6
+    assert r.customer_customerid is None
+
+
+def test_fills_all_null_row(spark, ansi):
+    out = clean.fill_nulls(clean.type_conversion(staged_row(spark)))
+    r = out.collect()[0]
+    assert r.invoiceno == -1 and r.customer_customerid == -1
+    assert r.lineitem_quantity != r.lineitem_quantity  # NaN
+    assert r.lineitem_unitprice != r.lineitem_unitprice
+    assert str(r.invoicets) == "1900-01-01 00:00:00" and str(r.sourcets) == "1900-01-01 00:00:00"
+    # derived before the fill: date, year, month stay NULL (fill order kept)
+    assert r.invoicedate is None and r.invoice_year is None and r.invoice_month is None
+    assert r.storeno == "NaN" and r.region == "NaN" and r.lineitem_stockcode == "NaN"
+
+
+def test_decimal_money_keeps_null(spark):
+    out = clean.fill_nulls(clean.type_conversion(staged_row(spark), money="decimal"))
+    r = out.collect()[0]
+    assert r.lineitem_unitprice is None and r.lineitem_saleprice is None
+
+
+def test_derived_columns(spark, ansi):
+    df = staged_row(spark, LineItem_StockCode="123456789012", Customer_CustomerID="5",
+                    SourceTimestamp="2024-12-30 23:00:00")
+    out = clean.null_handling(clean.type_conversion(df), as_of="2025-01-01 00:00:00")
+    r = out.collect()[0]
+    assert r.local_stockcode == "123"
+    assert r.standard_stockcode == "1234567890"  # longer codes are cut to 10
+    assert r.processing_delay == 2
+    assert r.customer_status is True
+    short = clean.null_handling(clean.type_conversion(staged_row(spark, LineItem_StockCode="42")))
+    assert short.collect()[0].standard_stockcode == "0000000042"
+
+
+def test_customer_status_truth_table(spark, ansi):
+    from kassa.functions.derive import customer_status
+    df = spark.createDataFrame([(5,), (-1,), (None,)], "id long")
+    got = [tuple(r) for r in df.select(customer_status("id"), customer_status("id", -1)).collect()]
+    assert got == [(True, True), (True, False), (False, False)]
+
+
+def test_no_python_udf_in_plan(spark):
+    df = clean.null_handling(clean.type_conversion(staged_row(spark, InvoiceNo="1")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert df.select(F.count("*")).collect()[0][0] == 1
