@@ -44,7 +44,8 @@ def parse_json(df: DataFrame, schema: T.StructType, column: str = "payload",
     bad = F.col(f"_parsed.{CORRUPT}").isNotNull() | F.col("_parsed").isNull()
     fields = [F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields]
     return (out.withColumn(alias, F.when(~bad, F.struct(*fields)))
-            .withColumn(CORRUPT, F.when(bad, F.col(column)))
+            # NULL text (missing or undecodable payload) is malformed too.
+            .withColumn(CORRUPT, F.when(bad, F.coalesce(F.col(column), F.lit(""))))
             .drop("_parsed"))
 
 
