@@ -79,3 +79,10 @@ def test_json_documents_array_and_extension_case(spark, tmpdir_path):
         f.write("[]")
     df = read_json_documents(spark, tmpdir_path)
     assert sorted(r.InvoiceNo for r in df.select("RetailTxnData.InvoiceNo").collect()) == ["1", "2", "3"]
+
+
+def test_failfast_raises_on_malformed(spark):
+    import pytest
+    df = spark.createDataFrame([("{bad",)], "payload string")
+    with pytest.raises(Exception):
+        nested.parse_json(df, transaction_schema(), mode="FAILFAST").collect()
