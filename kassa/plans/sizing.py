@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame, functions as F
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Reads at most ``max_rows + 1`` rows (the limit is pushed into the scan),
-    so the check stays cheap whatever the real size.
+    First asks the optimizer for a row bound it can prove from the plan
+    (in-memory rows, limits, global aggregates): no job. Otherwise reads at
+    most ``max_rows + 1`` rows (the limit is pushed into the scan), so the
+    check stays cheap whatever the real size.
     """
+    try:
+        proven = df._jdf.queryExecution().optimizedPlan().maxRows()
+        if proven.isDefined():
+            return int(proven.get()) <= max_rows
+    except Exception:  # plan introspection unavailable (e.g. Spark Connect)
+        pass
     return df.limit(max_rows + 1).count() <= max_rows
 
 

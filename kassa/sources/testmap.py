@@ -19,9 +19,8 @@ Mapping (one line item = one transaction line):
 Join plan: orders meets customer first (a quarter of lineitem's rows), then
 lineitem meets that on the order key; part, supplier and the geography
 follow as lookups on the fact side. Nothing is
-hinted: Spark broadcasts a side only when its measured size is under the
-broadcast threshold (AQE re-checks at run time), else it shuffles. The
-25-row nation/region geography is broadcast after a bounded row count.
+hinted: Spark broadcasts a side only when its size estimate is under the
+broadcast threshold (AQE re-checks with run-time sizes), else it shuffles.
 """
 
 from __future__ import annotations
@@ -30,7 +29,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kassa.plans.sizing import broadcast_if_bounded
 from kassa.schemas import STAGING_COLUMNS
 
 
@@ -50,7 +48,7 @@ def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation key -> nation name, region name (25 rows)."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return n.join(broadcast_if_bounded(r, 10_000), n.n_regionkey == r.r_regionkey, "left") \
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left") \
         .select("n_nationkey", "n_name", "r_name")
 
 
@@ -64,7 +62,7 @@ def star_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    geo = broadcast_if_bounded(geography(spark, sf_dir), 10_000)
+    geo = geography(spark, sf_dir)
     oc = o.join(c, o.o_custkey == c.c_custkey, "left")
     # Supplier and geography are joined onto the fact side one by one: the
     # planner's size estimate of a join is the product of its inputs, so a
