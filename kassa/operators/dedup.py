@@ -52,7 +52,8 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
                     keep: str = "mark", column: str = "rownumber",
                     tiebreak: bool = True, skew: str = "auto",
                     hot_key_rows: int = 2_000_000, sample_fraction: float | None = None,
-                    max_hot_keys: int = 10_000, rows_per_task: int = 4_000_000) -> DataFrame:
+                    max_hot_keys: int = 10_000, rows_per_task: int = 4_000_000,
+                    hot_keys: list | DataFrame | None = None) -> DataFrame:
     """Number rows per ``keys`` by ``order`` (newest first by default).
 
     keep:      "mark" adds ``column`` to every row (reference); "latest" keeps
@@ -62,6 +63,9 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
     skew:      "auto" samples for keys with more than ``hot_key_rows`` rows and
                numbers those with a range-partitioned sort; "off" always uses
                the plain window.
+    hot_keys:  keys known to be hot (tuples in ``keys`` order, or a frame of
+               key columns), e.g. the fill placeholders; skips the sampling
+               pass. The rest of the keys take the plain window.
     """
     keys = list(keys or DEDUP_KEYS)
     order = [order] if isinstance(order, str) else list(order)
@@ -76,7 +80,10 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
     if skew == "off":
         return df.withColumn(column, F.row_number().over(w))
 
-    hot = _hot_keys(df, keys, hot_key_rows, sample_fraction, max_hot_keys)
+    if hot_keys is not None:
+        hot = _given_hot_keys(df, keys, hot_keys, max_hot_keys, rows_per_task)
+    else:
+        hot = _hot_keys(df, keys, hot_key_rows, sample_fraction, max_hot_keys)
     if hot is None:
         return df.withColumn(column, F.row_number().over(w))
     hot_df, est_hot_rows = hot
@@ -110,6 +117,21 @@ def _hot_keys(df: DataFrame, keys: list[str], hot_key_rows: int,
     return hot_df, est
 
 
+def _given_hot_keys(df: DataFrame, keys: list[str], hot_keys, max_hot_keys: int,
+                    rows_per_task: int):
+    """Caller-supplied hot keys as a bounded frame; without a sample the
+    number of range partitions follows the shuffle partition setting."""
+    spark = df.sparkSession
+    if isinstance(hot_keys, DataFrame):
+        hot_df = hot_keys.select(*keys)
+    else:
+        hot_df = spark.createDataFrame([tuple(k) for k in hot_keys], df.select(*keys).schema)
+    if not bounded_rows(hot_df, max_hot_keys):
+        return None
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return hot_df, float(parts * rows_per_task)
+
+
 def _number_by_range(heavy: DataFrame, keys: list[str], ordering: list[Column],
                      column: str, n_parts: int) -> DataFrame:
     """Exact ``row_number`` for hot keys without one task per key.

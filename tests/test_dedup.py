@@ -65,3 +65,16 @@ def test_hot_key_path_is_used(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan
     assert sorted(r.rownumber for r in out.collect()) == list(range(1, 5001))
+
+
+def test_given_hot_keys_skip_sampling(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("NaN")).otherwise(F.col("id").cast("string")).alias("k1"),
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).cast("long").alias("k2"),
+        (F.col("id") % 50).cast("string").alias("ts"), F.col("id").alias("v"), F.lit("x").alias("w"))
+    plain = mark_duplicates(df, KEYS, "ts", skew="off")
+    given = mark_duplicates(df, KEYS, "ts", hot_keys=[("NaN", -1)], rows_per_task=500)
+    assert "Union" in given._jdf.queryExecution().executedPlan().toString()
+    a = sorted(tuple(str(x) for x in r) for r in plain.collect())
+    b = sorted(tuple(str(x) for x in r) for r in given.collect())
+    assert a == b
