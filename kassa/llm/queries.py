@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, license_scan, mixing, url_filter
+from . import exact_dedup, license_scan, mixing, packing, url_filter
 from .common import small_batches, table
 from .oracle import ORACLE as ORACLE
 
@@ -14,6 +14,17 @@ BLOCK = ["net/", "example.com/de/"]
 ALLOW = ["example.net/en/", "org/fr/"]
 
 
+def bpe_encoder():
+    """The byte-level BPE of the installed vocabulary files."""
+    import public_tokenizers as vocabularies
+    return packing.byte_bpe_encoder(vocabularies.path("byte_bpe_50k.json"), vocabularies.path("byte_bpe_50k.tiktoken"),
+                                    vocabularies.PATTERN, ("<|endoftext|>",))
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), bpe_encoder(), with_ids=False)
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -32,4 +43,4 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_license_scan, op5_exact_dedup, op6_url_filter, op9_source_mixing)}
+    op1_best_fit_packing, op2_license_scan, op5_exact_dedup, op6_url_filter, op9_source_mixing)}
