@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, license_scan, mixing, packing, url_filter
+from . import exact_dedup, license_scan, mixing, packing, topk, url_filter
 from .common import small_batches, table
 from .oracle import ORACLE as ORACLE
 
@@ -29,6 +29,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
 
@@ -43,4 +47,4 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_license_scan, op5_exact_dedup, op6_url_filter, op9_source_mixing)}
+    op1_best_fit_packing, op2_license_scan, op3_exact_topk, op5_exact_dedup, op6_url_filter, op9_source_mixing)}
