@@ -52,3 +52,14 @@ def ascii_lower(col):
     """Lower-cases A-Z and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(col, upper, upper.lower())
+
+
+def id_text():
+    """doc_id on its way to pandas: as text, since a column of longs with a
+    null in it would become doubles there."""
+    return F.col("doc_id").cast("long").cast("string").alias("doc_id")
+
+
+def with_ids(df: DataFrame) -> DataFrame:
+    """doc_id back from text."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -29,11 +29,11 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import keep, small_batches, text_of
+from .common import id_text, keep, small_batches, text_of, with_ids
 
 SEQUENCE = 2048
 END_ID = 0
-PIECES = "doc_id long, piece int, start long, length long, ids binary, part int, place long"
+PIECES = "doc_id string, piece int, start long, length long, ids binary, part int, place long"
 
 
 class CapacityTree:
@@ -165,11 +165,9 @@ def tokenize(docs: DataFrame, encoder: Callable, size: int = SEQUENCE, end_id: i
                     start = max(0, end - size)
                     rows.append((doc_id, piece, start, end - start, ids[start:end].tobytes(), part, seen[end - start]))
                     seen[end - start] += 1
-            out = pd.DataFrame(rows, columns=[x.split()[0] for x in PIECES.split(", ")])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=[x.split()[0] for x in PIECES.split(", ")])
     small_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text")).mapInPandas(pieces, PIECES)
+    return with_ids(docs.select(id_text(), text_of().alias("_text")).mapInPandas(pieces, PIECES))
 
 
 def place(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, license_scan, mixing, packing, topk, url_filter
+from . import exact_dedup, license_scan, minhash, mixing, packing, topk, url_filter
 from .common import small_batches, table
 from .oracle import ORACLE as ORACLE
 
@@ -42,9 +42,13 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, numerator=85, denominator=100)
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("shard", "quota")
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_license_scan, op3_exact_topk, op5_exact_dedup, op6_url_filter, op9_source_mixing)}
+    op1_best_fit_packing, op2_license_scan, op3_exact_topk, op5_exact_dedup, op6_url_filter, op8_minhash_dedup, op9_source_mixing)}
