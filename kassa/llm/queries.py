@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, license_scan, minhash, mixing, packing, topk, url_filter
+from . import exact_dedup, license_scan, line_dedup, minhash, mixing, packing, topk, url_filter
 from .common import small_batches, table
 from .oracle import ORACLE as ORACLE
 
@@ -50,5 +50,11 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("shard", "quota")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.size("removed_spans").cast("long").alias("n_runs"),
+        F.aggregate("removed_spans", F.lit(0).cast("long"), lambda a, s: a + s["words"]).alias("n_words_removed"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_license_scan, op3_exact_topk, op5_exact_dedup, op6_url_filter, op8_minhash_dedup, op9_source_mixing)}
+    op1_best_fit_packing, op2_license_scan, op3_exact_topk, op5_exact_dedup, op6_url_filter, op8_minhash_dedup, op9_source_mixing, op10_line_dedup)}
