@@ -33,7 +33,7 @@ from .common import drop_kept, keep, text_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 RUN_WORDS = 50
-GRAM_WORDS = 25
+GRAM_WORDS = 40
 LAST = 2 ** 63 - 1  # the place of documents without doc_id
 
 DOC = ["_d", "_h"]
