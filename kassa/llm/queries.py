@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, license_scan, line_dedup, minhash, mixing, packing, topk, url_filter
-from .common import small_batches, table
+from . import exact_dedup, license_scan, line_dedup, minhash, mixing, packing, quality, topk, toxicity, url_filter
+from .common import keep, table
 from .oracle import ORACLE as ORACLE
 
 # The rules of the page filter, host and path.
@@ -33,6 +33,16 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = keep(quality.document_statistics(table(spark, sf_dir, "documents")), "statistics")
+    return quality.score_statistics(stats, quality.fit(stats, table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
 
@@ -57,4 +67,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_license_scan, op3_exact_topk, op5_exact_dedup, op6_url_filter, op8_minhash_dedup, op9_source_mixing, op10_line_dedup)}
+    op1_best_fit_packing, op2_license_scan, op3_exact_topk, op4_quality_classifier, op5_exact_dedup,
+    op6_url_filter, op7_toxicity, op8_minhash_dedup, op9_source_mixing, op10_line_dedup)}
