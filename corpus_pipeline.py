@@ -1,10 +1,88 @@
-"""The corpus pipeline: documents to packed training sequences in five stages."""
+"""The corpus pipeline: from documents to packed training sequences.
+
+``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
+and returns the rows for the next one, with the columns of ``documents``; the
+last returns the packed pieces. ``run`` chains them, writing each stage's rows
+as Parquet in the shared folder of ``spark.checkpoint.dir`` and reading them
+again, so that a lost executor costs part of one stage.
+
+Learned scores, hashes and tokenization aren't expressible in SQL, hence no
+``ORACLE_SQL``; the stages are tested against brute force.
+
+Nulls, empty tables and repeated rows: a null text is treated as empty by
+every stage; quality judges it like any text; line and near dedup leave it;
+mixing drops documents without words, as they hold no tokens of any source;
+an empty table passes through all stages as one.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from kassa.llm import line_dedup, minhash, mixing, packing, quality
+from kassa.llm.common import drop_kept, keep, small_batches, table
+from kassa.llm.queries import bpe_encoder
+
+
+def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts (score of 0.5 or more).
+    The model is fitted on the labelled documents among ``docs``."""
+    stats = keep(quality.document_statistics(docs), "statistics")
+    model = quality.fit(stats, table(spark, sf_dir, "labels"))
+    drop_kept(stats)
+    small_batches(spark)
+    return docs.where(quality.text_score(model)(F.coalesce("text", F.lit(""))) >= 0.5)
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of runs of lines that occurred before;
+    a document of which nothing is left goes. n_chars follows the text."""
+    cut = line_dedup.dedup_lines(docs).withColumn("_cut", F.size("removed_spans") > 0)
+    left = cut.where(~F.col("_cut") | F.col("text").rlike(line_dedup.WORD))
+    n_chars = F.when(F.col("_cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the least id, of every group of near
+    duplicates (five-word shingles, similarity of 0.8 or more)."""
+    gone = minhash.near_duplicates(docs, k=5, numerator=80, denominator=100).where(
+        ~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it, in whole copies: a copy of
+    which the mix takes half or more is whole, one of which it takes less goes."""
+    keyed = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    ids = ["doc_id", "_h"]
+    taken = mixing.mix_sources(keyed, ids=ids).where("size > 0").groupBy(*ids).agg(
+        F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias("_copies")).where("_copies > 0")
+    taken = taken.withColumnRenamed("doc_id", "_id").withColumnRenamed("_h", "_key").hint("shuffle_hash")
+    chosen = keyed.join(taken, (F.col("_h") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their token ids and their place in
+    sequences of 2048 tokens."""
+    return packing.pack(docs, bpe_encoder())
+
+
+STAGES = [
+    ("quality classifier", filter_quality),
+    ("line dedup", remove_repeated_lines),
+    ("MinHash near-dedup", remove_near_duplicates),
+    ("mixing sources to target weights", mix),
+    ("best-fit packing", pack),
+]
+
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole ``documents`` table."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -181,7 +181,7 @@ def place(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     # where each task's pieces of a length begin among all pieces of that length
     before = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     begins = per_part.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    numbered = pieces.join(begins, ["length", "part"]).withColumn("number", F.col("begin") + F.col("place"))
+    numbered = pieces.join(begins.hint("shuffle_hash"), ["length", "part"]).withColumn("number", F.col("begin") + F.col("place"))
 
     @F.pandas_udf("sequence_id long, offset long")
     def placed(length: pd.Series, number: pd.Series) -> pd.DataFrame:
