@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kassa.llm import line_dedup, minhash, mixing, packing, quality
-from kassa.llm.common import drop_kept, keep, small_batches, table
+from kassa.llm.common import drop_kept, keep, small_batches, table, whole_row
 from kassa.llm.queries import bpe_encoder
 
 
@@ -37,10 +37,10 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of runs of lines that occurred before;
     a document of which nothing is left goes. n_chars follows the text."""
-    cut = line_dedup.dedup_lines(docs).withColumn("_cut", F.size("removed_spans") > 0)
-    left = cut.where(~F.col("_cut") | F.col("text").rlike(line_dedup.WORD))
-    n_chars = F.when(F.col("_cut"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", n_chars).select(*docs.columns)
+    runs = F.size("removed_spans")
+    cut = line_dedup.dedup_lines(docs).where((runs == 0) | F.col("text").rlike(line_dedup.WORD))
+    n_chars = F.when(runs > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.select(*[n_chars.alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,19 +48,18 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     duplicates (five-word shingles, similarity of 0.8 or more)."""
     gone = minhash.near_duplicates(docs, k=5, numerator=80, denominator=100).where(
         ~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, in whole copies: a copy of
     which the mix takes half or more is whole, one of which it takes less goes."""
-    keyed = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    ids = ["doc_id", "_h"]
+    keyed = docs.select("doc_id", "source", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), whole_row(docs).alias("row"))
+    ids = ["doc_id", "key"]
     taken = mixing.mix_sources(keyed, ids=ids).where("size > 0").groupBy(*ids).agg(
-        F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias("_copies")).where("_copies > 0")
-    taken = taken.withColumnRenamed("doc_id", "_id").withColumnRenamed("_h", "_key").hint("shuffle_hash")
-    chosen = keyed.join(taken, (F.col("_h") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+        F.round(F.avg(F.col("taken") / F.col("size"))).cast("int").alias("copies")).where("copies > 0")
+    chosen = keyed.alias("d").join(taken.hint("shuffle_hash").alias("t"), F.expr("d.key = t.key AND d.doc_id <=> t.doc_id"))
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

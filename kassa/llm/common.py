@@ -63,3 +63,9 @@ def id_text():
 def with_ids(df: DataFrame) -> DataFrame:
     """doc_id back from text."""
     return df.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def whole_row(df: DataFrame):
+    """All columns as one struct, so that a row can travel beside helper
+    columns whatever its own are called."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])

@@ -22,14 +22,14 @@ fewer words than RUN_WORDS stays as it is; lines are equal when identical;
 rows that share doc_id and text are one document and get the same result;
 documents without doc_id come last in order; an empty table gives an empty
 result; other columns are kept as they are, whatever their names, but for
-``text``.
+``text`` and ``removed_spans``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import drop_kept, keep, text_of
+from .common import drop_kept, keep, text_of, whole_row
 
 WORD = r"[^\x20\x09-\x0D]+"
 RUN_WORDS = 50
@@ -47,15 +47,14 @@ def line_hash(text: Column) -> Column:
 def keyed(docs: DataFrame) -> DataFrame:
     """Adds what names a document: its id (for the order) and a hash that
     tells rows apart which share it."""
-    return docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))).withColumn(
-        "_h", F.xxhash64("doc_id", text_of()))
+    return docs.withColumns({"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "_h": F.xxhash64("doc_id", text_of())})
 
 
 def lines(docs: DataFrame, run_words: int, gram_words: int) -> DataFrame:
     """A row per line that has words: document, pos (its line number), idx
     (its number among such lines), n (words), line (hash), and ``pick``: the
     (gram hash, -idx) selected in the stretch that starts at this line."""
-    found = (keyed(docs).select(*DOC, F.posexplode(F.split(text_of(), "\n")).alias("pos", "_l"))
+    found = (keyed(docs.select("doc_id", "text")).select(*DOC, F.posexplode(F.split(text_of(), "\n")).alias("pos", "_l"))
              .select(*DOC, "pos", line_hash(F.col("_l").cast("binary")).alias("line"), F.regexp_count("_l", F.lit(WORD)).alias("n"))
              .where("n > 0").repartition(*DOC).dropDuplicates([*DOC, "pos"]))
     doc = W.partitionBy(*DOC)
@@ -120,9 +119,10 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, gram_words: int = G
     found = keep(lines(docs, run_words, gram_words), "lines")
     spans = keep(repeated_runs(found, run_words), "spans")
     drop_kept(found)
+    row, none = whole_row(docs), F.array().cast(spans.schema["spans"].dataType)
     inside = lambda i: F.exists("spans", lambda s: (s["first"] <= i) & (i <= s["last"]))
-    cut = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~inside(i)), "\n")
-    none = F.array().cast(spans.schema["spans"].dataType)
-    joined = keyed(docs).join(spans.hint("shuffle_hash"), DOC, "left")
-    return joined.select(*[F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut).alias("text") if c == "text" else F.col(f"`{c}`")
-                           for c in docs.columns], F.coalesce("spans", none).alias("removed_spans"))
+    text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(
+        F.array_join(F.filter(F.split("row.text", "\n"), lambda x, i: ~inside(i)), "\n"))
+    named = keyed(docs.select("doc_id", "text", row.alias("row"))).select(*DOC, "row").join(spans.hint("shuffle_hash"), DOC, "left")
+    return named.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c != "removed_spans"],
+                        F.coalesce("spans", none).alias("removed_spans"))
