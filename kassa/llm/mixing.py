@@ -46,7 +46,7 @@ def source_targets(sources: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS
               .withColumn("full", F.col("limit") * F.col("w_left") <= F.col("left") * F.col("w")))
     rest = F.sum("source_size").over(one) - F.sum(F.when(F.col("full"), F.col("limit")).otherwise(0)).over(one)
     w_rest = F.sum(F.when(F.col("full"), F.lit(0.0)).otherwise(F.col("w"))).over(one)
-    return shares.withColumn("target", F.when(F.col("full"), F.col("limit")).otherwise(F.col("w") * rest / w_rest)).select(
+    return shares.withColumn("target", F.when(F.col("full"), F.col("limit")).otherwise(F.col("w") * rest / F.nullif(w_rest, F.lit(0.0)))).select(
         *sources.columns, "ord", "target")
 
 
@@ -59,9 +59,9 @@ def sainte_lague(claims: DataFrame, group: list[str], key: list[str], claim: str
     in that band are ranked: at most a few rows for each claim, however many
     seats there are."""
     all_ = W.partitionBy(*group)
-    x = F.col(claim) * F.col(seats) / F.sum(claim).over(all_)
-    slack = (F.count(F.lit(1)).over(all_) + 1) / (2 * F.col(seats))
-    band = (claims.where(F.col(claim) > 0).withColumn("_x", x).withColumn("_slack", slack)
+    x = F.col(claim) * F.col(seats) / F.nullif(F.sum(claim).over(all_), F.lit(0))
+    slack = (F.count(F.lit(1)).over(all_) + 1) / F.nullif(2 * F.col(seats), F.lit(0))
+    band = (claims.where((F.col(claim) > 0) & (F.col(seats) > 0)).withColumn("_x", x).withColumn("_slack", slack)
             .withColumn("_lo", F.greatest(F.lit(0), F.floor(F.col("_x") * (1 - F.col("_slack")) - 0.5)).cast("long"))
             .withColumn("_hi", (F.ceil(F.col("_x") * (1 + F.col("_slack")) + 0.5)).cast("long"))
             .withColumn("_open", F.col(seats) - F.sum("_lo").over(all_)))

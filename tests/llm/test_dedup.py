@@ -1,0 +1,164 @@
+"""Exact, near and line dedup, and connected components, against brute force."""
+
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from kassa.llm import components, exact_dedup, line_dedup, minhash
+
+WORDS = ["".join("aeiou"[(i // 5 ** k) % 5] + "bdlnrst"[(i // 7 ** k) % 7] for k in range(4)) for i in range(3000)]
+
+
+def find(parent, x):
+    while parent.setdefault(x, x) != x:
+        x = parent[x]
+    return x
+
+
+def joined(pairs, nodes=()):
+    parent = {n: n for n in nodes}
+    for a, b in pairs:
+        a, b = sorted((find(parent, a), find(parent, b)))
+        parent[b] = a
+    return {n: find(parent, n) for n in list(parent)}
+
+
+def prose(rng, n):
+    return " ".join(rng.choices(WORDS, k=n))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(1000, 1060)] + \
+        [(2000, i) for i in range(2001, 2100)] + [(5, 5)]
+    got = components.connected_components(spark.createDataFrame(pairs, "u long, v long")).collect()
+    want = joined([p for p in pairs if p[0] != p[1]])
+    assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
+def near_copies(rng):
+    texts = []
+    for _ in range(60):
+        base = prose(rng, rng.choice([2, 10, 60, 120]))
+        texts.append(base)
+        for _ in range(rng.choice([0, 0, 1, 8])):
+            w = base.split()
+            for _ in range(rng.choice([0, 1, 2, 3, 5])):
+                w[rng.randrange(len(w))] = rng.choice(WORDS)
+            texts.append("  ".join(w).upper())
+    hot = prose(rng, 100).split()
+    for _ in range(80):
+        w = list(hot)
+        for _ in range(rng.randrange(9)):
+            w[rng.randrange(100)] = rng.choice(WORDS)
+        texts.append("\n".join(w))
+    return texts + [None, "", "one", "ONE", "two words"]
+
+
+@pytest.mark.parametrize("blocks", [(4096, 1_000_000), (3, 200)])
+def test_near_duplicates(spark, monkeypatch, blocks):
+    """The same result whether hot buckets and components are cut into blocks or not."""
+    monkeypatch.setattr(minhash, "BUCKET_BLOCK", blocks[0])
+    monkeypatch.setattr(minhash, "SET_BLOCK", blocks[1])
+    texts = near_copies(random.Random(4))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, 3, 85, 100).collect()}
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        sets.append({tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))} if w else set())
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    want = joined(links, range(len(sets)))
+    assert len(links) > 300
+    assert got == {i: (len(s), want[i], want[i] == i) for i, s in enumerate(sets)}
+
+
+def test_word_hashes_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(5)
+    text = "".join(rng.choice("abÉ漢 \n\t\x0b") for _ in range(5000)) + "x" * 9000 + " " + "x" * 9001
+    whole = minhash.word_hashes(text)
+    monkeypatch.setattr(minhash, "PIECE_BYTES", 17)
+    assert whole.tolist() == minhash.word_hashes(text).tolist()
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    assert len(whole) == len(words) and len(set(whole.tolist())) == len(set(words))
+
+
+def test_chunks_cover_the_text_and_follow_its_content(spark):
+    rng = random.Random(6)
+    text = prose(rng, 4000) + "\n" + "z" * 20_000
+    shifted = "inserted " + text
+    a, b = [r[0] for r in spark.createDataFrame([(text,), (shifted,)], "t string").select(exact_dedup.chunks(F.col("t"))).collect()]
+    assert "".join(a) == text and "".join(b) == shifted and max(map(len, a)) <= exact_dedup.MAX_CHARS + 8
+    assert len(set(a) & set(b)) > len(a) / 2
+
+
+@pytest.mark.parametrize("fingerprint", [F.xxhash64, lambda c: F.length(c).cast("long") % 3])
+def test_exact_dedup_verifies_fingerprints(spark, fingerprint):
+    """Also with fingerprints that collide all the time."""
+    rng = random.Random(7)
+    texts = [prose(rng, rng.choice([1, 200, 900])) for _ in range(60)]
+    texts += [rng.choice(texts) for _ in range(60)] + [None, "", " "] + [texts[0] + "x", "y" + texts[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = defaultdict(list)
+    for i, t in enumerate(texts):
+        groups[t or ""].append(i)
+    want = {i: (max(g), len(g), i == max(g)) for g in groups.values() for i in g}
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_dedup(docs, fingerprint).collect()}
+    assert got == want
+
+
+def test_line_dedup_deletes_repeated_runs_only(spark):
+    rng = random.Random(8)
+    passage = [prose(rng, 20), "", prose(rng, 25), prose(rng, 18)]  # 63 words in three lines
+    single = prose(rng, 55)
+    docs, clean = [], []
+    for i in range(40):
+        own = [prose(rng, rng.choice([3, 12, 40])) for _ in range(6)] + ["All rights reserved."]
+        clean.append(own)
+        lines = list(own)
+        if i % 3 == 0:
+            at = rng.randrange(6)
+            lines[at:at] = passage
+        if i % 4 == 0:
+            lines.insert(0, single)
+        docs.append(lines)
+    docs.append(docs[3])        # an exact copy
+    docs.append([single] * 4)   # a text that repeats itself
+    table = spark.createDataFrame([(i, "\n".join(x)) for i, x in enumerate(docs)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(table).collect()}
+    for i in range(40):
+        first = i in (0,)
+        assert got[i].text.split("\n") == (docs[i] if first else clean[i]), i
+    assert got[40].text == "" and got[41].text == ""
+    assert sum(s.words for s in got[3].removed_spans) == 63
+
+
+def test_line_dedup_is_complete_for_whole_passages(spark):
+    """Against the definition: every line of a run of 50 words or more that
+    stands at an earlier place too. Nothing else is deleted, and what matches
+    with an earlier passage as a whole always is."""
+    rng = random.Random(9)
+    pool = [[prose(rng, rng.choice([4, 9, 30])) for _ in range(rng.choice([4, 7]))] for _ in range(12)]
+    docs = [[x for _ in range(rng.choice([1, 2, 3])) for x in ([prose(rng, 15)] + rng.choice(pool))] for _ in range(60)]
+    table = spark.createDataFrame([(i, "\n".join(x)) for i, x in enumerate(docs)], "doc_id long, text string")
+    got = {r.doc_id: r.removed_spans for r in line_dedup.dedup_lines(table).collect()}
+    seen, missed, total = set(), 0, 0
+    for d, lines in enumerate(docs):
+        n, gone = [len(x.split()) for x in lines], set()
+        fresh = []
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                if sum(n[i:j + 1]) >= 50:
+                    run = tuple(lines[i:j + 1])
+                    if run in seen:
+                        gone |= set(range(i, j + 1))
+                    fresh.append(run)
+                    seen.add(run)  # later places of the same document come after this one
+        cut = {i for s in got[d] for i in range(s.first, s.last + 1)}
+        assert cut <= gone, d
+        missed, total = missed + len(gone - cut), total + len(gone)
+    assert total > 200 and missed <= 0.02 * total

@@ -1,0 +1,162 @@
+"""License scan, URL filter, top-k search and mixing, against brute force."""
+
+import heapq
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from kassa.llm import license_scan, mixing, topk, url_filter
+
+LICENCES = [
+    "This work is licensed under the GNU General Public License, version 3.", "All rights reserved.", "Released under the MIT License.",
+    "Licensed under CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0.", "cc by", "general public license all rights reserved",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted", "mit license", "gnu", "version 3 license"]
+
+
+def test_licenses(spark):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice([rng.choice(LICENCES), "by the way, all of it", "Éa\x00b9"]) for _ in range(rng.randrange(6))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
+    for i, text in enumerate(texts):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c < "\x80" else c for c in text))
+        places = sorted((s, label) for p, label in license_scan.BASE.items() for s in range(len(words))
+                        if words[s:s + len(p.split())] == p.split())
+        r = got[i]
+        assert (r.n_words, r.n_base) == (len(words), len(places))
+        assert (r.first_word, r.last_word) == ((places[0][0], places[-1][0]) if places else (None, None))
+        assert r.base_labels == ",".join(sorted({x for _, x in places}))
+        labels, best = {x for _, x in places}, 0.5 if places else 0.0
+        for t in license_scan.TEMPLATES:
+            starts = [s for s in range(-len(t.words), len(words)) if all(
+                s + p >= 0 and words[s + p:s + p + len(k)] == list(k) for p, k in t.keys)]
+            have = [p for p, w in enumerate(t.words) if w]
+            share = sum(any(0 <= s + p < len(words) and words[s + p] == t.words[p] for s in starts) for p in have) / len(have)
+            if starts and share >= license_scan.MATCH_SHARE:
+                labels, best = labels | {t.label}, max(best, share)
+        assert r.labels == ",".join(sorted(labels)) and r.score == pytest.approx(best) and 0 <= r.score <= 1
+    assert {"mit", "gpl-3.0", "apache-2.0", "cc-by-nc-4.0", "bsd"} <= {x for r in got.values() for x in r.labels.split(",")}
+
+
+def test_reputation_shrinks_and_blocks(spark):
+    pages = [(i, f"http://bad.spam.com/p{i}", 1) for i in range(30)] + [(100 + i, f"http://good.fine.com/{i}", 0) for i in range(300)]
+    pages += [(500, "http://new.spam.com/x", None), (501, "http://new.fine.com/x", None), (502, "http://one.fine.com/x", 1)]
+    df = spark.createDataFrame(pages, "page_id long, url string, seen int")
+    hosts = df.select(url_filter.url_host(F.col("url")).alias("host"), F.col("seen").alias("bad"))
+    rep = {r.host: r for r in url_filter.host_reputation(hosts).collect()}
+    assert rep["bad.spam.com"].lower > 0.5 > rep["good.fine.com"].lower
+    assert rep["new.spam.com"].share > 0.5 > rep["new.fine.com"].share          # from the domain
+    assert rep["one.fine.com"].lower < 0.5 and rep["one.fine.com"].share < 1    # one bad page isn't enough
+    judged = url_filter.filter_urls(df, [], ["spam.com/"])
+    assert {r.verdict for r in judged.where("host like '%spam.com'").collect()} == {"block"}
+    assert {r.verdict for r in judged.where("host like '%fine.com'").collect()} == {"allow"}
+
+
+def test_longest_rule_wins(spark):
+    pages = spark.createDataFrame([(1, "http://a.example.net/en/x"), (2, "http://a.example.net/de/"), (3, "http://example.net/en"),
+                                   (4, "http://notexample.net/en/"), (5, "HTTPS://X.ORG/fr/?a"), (6, "https://x.org/FR/")], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(pages, ["example.net/en/", "org/fr/"], ["net/"]).collect()}
+    assert got == {1: ("example.net/en/", "allow"), 2: ("net/", "block"), 3: ("net/", "block"), 4: ("net/", "block"),
+                   5: ("org/fr/", "allow"), 6: (None, "allow")}
+
+
+def brute_topk(v, ids, queries, k):
+    out = {}
+    for q in queries:
+        at = ids.index(q)
+        scores = sorted((-int(v[at] @ v[i]), ids[i]) for i in range(len(ids)) if ids[i] != q)
+        out[q] = [(i, -s) for s, i in scores[:k]]
+    return out
+
+
+@pytest.mark.parametrize("spread", [0.0, 1.5])
+def test_topk(spark, spread):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 12)) * np.exp(rng.normal(size=(900, 1)) * spread)
+    x[100:300] = x[100]                     # a third of all rows alike
+    x[300:420] = x[7] + rng.normal(size=(120, 12)) * 0.01
+    v = np.floor(256 * x).astype(int)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = topk.exact_topk(df, F.col("vec_id") % 20 == 0, k=5, bucket_rows=100, query_rows=16).orderBy("query_id", "rank").collect()
+    want = brute_topk(v, list(range(900)), range(0, 900, 20), 5)
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got] == [
+        (q, n + 1, i, s) for q in sorted(want) for n, (i, s) in enumerate(want[q])]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10 ** 6), st.integers(1, 6), st.floats(0, 3))
+def test_bucket_pruning_loses_nothing(seed, dim, spread):
+    rng = np.random.default_rng(seed)
+    p = np.floor(rng.normal(size=(80, dim)) * 50 * np.exp(rng.normal(size=(80, 1)) * spread)).astype(int)
+    p = p[np.argsort(-np.sqrt((p.astype(float) ** 2).sum(1)), kind="stable")]
+    q = np.vstack([p[::9], rng.integers(-60, 60, (4, dim))])
+    ids, q_ids, score = np.arange(80), np.full(len(q), -1), q @ p.T
+    bounds = np.sort(score, 1)[:, -3].astype(float)
+    for i, found, scores in topk.best_of_bucket(q, q_ids, bounds, p, ids, 3):
+        want = sorted((-s, j) for j, s in enumerate(score[i]))[:3]
+        assert [(-s, j) for j, s in zip(found, scores)] == want
+
+
+def brute_targets(sizes, weights, most):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, full, total = {}, set(), sum(sizes.values())
+    while True:
+        rest = total - sum(most * sizes[s] for s in full)
+        open_ = [s for s in names if s not in full]
+        target = {s: most * sizes[s] for s in full} | {s: w[s] * rest / sum(w[x] for x in open_) for s in open_}
+        above = {s for s in open_ if target[s] > most * sizes[s]}
+        if not above:
+            return target
+        full |= above
+
+
+def test_mixing_meets_its_targets(spark):
+    rng = random.Random(5)
+    sources = [None, "a", "b", "é", "z", "empty", *[f"s{i}" for i in range(9)]]
+    rows = []
+    for i in range(3000):
+        s = rng.choice(["a"] * 10 + sources)
+        n = 0 if s == "empty" else rng.choice([0, 1, 30, 200, 2000 if s == "a" else 20])
+        rows.append((i, " ".join(["w"] * n), s))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    run = lambda d: sorted(tuple(r) for r in mixing.mix_sources(d, shard_words=50_000).select(
+        "doc_id", "size", "source_size", "target", "taken").collect())
+    got = run(docs.repartition(3))
+    assert got == run(docs.repartition(8))  # reruns agree however the rows lie
+    by, size, taken = dict((i, s) for i, _, s in rows), Counter(), Counter()
+    for i, n, _, _, t in got:
+        assert n == len(rows[i][1].split()) and 0 <= t <= 3 * n
+        size[by[i]] += n
+        taken[by[i]] += t
+    want = brute_targets(size, mixing.WEIGHTS, 3)
+    for i, _, total, target, _ in got:
+        assert total == size[by[i]] and target == pytest.approx(want[by[i]])
+    for s, t in want.items():
+        assert abs(taken[s] - t) <= 0.02 * t + 2 * mixing.BLOCK_WORDS, (s, taken[s], t)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sainte_lague_is_the_highest_quotients(spark, seed):
+    rng = random.Random(seed)
+    claims, seats = [], {}
+    for g in range(6):
+        seats[g] = rng.choice([1, 3, 10, 1000, 12345])
+        claims += [(g, k, rng.choice([0, 1, 1, 5, rng.randrange(1, 10 ** 6)]), seats[g]) for k in range(rng.choice([1, 4, 30]))]
+    got = {(r.g, r.k): r.quota for r in mixing.sainte_lague(
+        spark.createDataFrame(claims, "g int, k int, claim long, seats long"), ["g"], ["k"], "claim", "seats").collect()}
+    for g, n in seats.items():
+        heap = [(-c, k, 1, c) for gg, k, c, _ in claims if gg == g and c > 0]
+        heapq.heapify(heap)
+        want = Counter()
+        for _ in range(n if heap else 0):
+            _, k, s, c = heapq.heappop(heap)
+            want[k] += 1
+            heapq.heappush(heap, (-c / (2 * s + 1), k, s + 1, c))
+        assert {k: q for (gg, k), q in got.items() if gg == g and q} == dict(want)
