@@ -39,7 +39,7 @@ BUCKETS = 1 << 17
 DIMENSIONS = 4
 GRAMS = (3, 4, 5)
 WINDOW = 1
-SAMPLE_ROWS, SAMPLE_CHARS = 4000, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 2000, 20_000
 STEPS, RATE, DROP, DECAY = 40, 0.5, 0.5, 0.1
 MISSPELT = 0.7   # of the longer words of a text that is learned from once more
 TOXIC_FROM = 0.7
@@ -137,56 +137,61 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 3) -> Toxicity:
     again = [*np.flatnonzero(toxic == 1), *np.flatnonzero(toxic == 0)[:(toxic == 1).sum()]]
     texts = [*texts, *[misspelt(texts[i], pick) for i in again]]
     toxic = np.concatenate([toxic, toxic[again]])
-    grams, sizes, number, words, window, doc, n_windows = [], [], {}, [], [], [], 0
+    number, grams, owners, words, window, doc, n_windows = {}, [], [], [], [], [], 0
     for d, text in enumerate(texts):
         bags = Bags(text)
         if not bags.n:
             continue
-        order = np.argsort(bags.of, kind="stable")
-        gram, size = bags.gram[order], np.bincount(bags.of, minlength=bags.n)
-        end = np.cumsum(size)
-        for i, key in enumerate(bags.key.tolist()):
-            if key not in number:  # each word's bag is held once
-                number[key] = len(sizes)
-                grams.append(gram[end[i] - size[i]:end[i]])
-                sizes.append(size[i])
-            words.append(number[key])
-        own = np.arange(bags.n) // WINDOW
-        window.append(own + n_windows)
-        doc.append(np.full(own[-1] + 1, d))
-        n_windows += own[-1] + 1
-    gram, sizes, words = np.concatenate(grams), np.array(sizes), np.array(words)
-    window, doc = np.concatenate(window), np.concatenate(doc)
-    first = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    per_window = np.bincount(window, minlength=n_windows)
-    y = toxic[doc]
-    table = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
-    soft = np.stack([-np.ones(DIMENSIONS), np.ones(DIMENSIONS)], 1).astype(np.float32) * rng.uniform(0.5, 1, (DIMENSIONS, 1)).astype(np.float32)
+        keys, first, own = np.unique(bags.key, return_index=True, return_inverse=True)
+        known = len(number)
+        at = np.array([number.setdefault(k, len(number)) for k in keys.tolist()], np.int32)
+        mine = np.full(bags.n, -1, np.int32)  # each word's bag is held once
+        mine[first[at >= known]] = at[at >= known]
+        new = mine[bags.of] >= 0
+        grams.append(bags.gram[new])
+        owners.append(mine[bags.of[new]])
+        words.append(at[own])
+        part = np.arange(bags.n, dtype=np.int32) // WINDOW
+        window.append(part + np.int32(n_windows))
+        n = int(part[-1]) + 1
+        doc.append(np.full(n, d, np.int32))
+        n_windows += n
+    n_words = len(number)
+    del number
+    gram, owner, words, window, doc = map(np.concatenate, (grams, owners, words, window, doc))
+    del grams, owners
+    per_window = np.bincount(window, minlength=n_windows).astype(np.float32)
+    toxic_window = (toxic[doc] == 1)
+    table = rng.normal(0, 0.1, (DIMENSIONS, BUCKETS)).astype(np.float32)
+    soft = np.outer(rng.uniform(0.5, 1, DIMENSIONS), [-1, 1])
     bias = -np.log(max(1.0, n_windows / len(texts)))  # a text's windows together start at about even odds
     grown, grown_soft, grown_bias = np.full_like(table, 1e-6), np.full_like(soft, 1e-6), 1e-6
     for _ in range(STEPS):
-        keep = (rng.random(len(gram)) >= DROP).astype(np.float32)
-        kept = np.add.reduceat(keep, first)
-        weight = keep / np.repeat(np.maximum(kept, 1), sizes)
-        word_vec = np.stack([np.add.reduceat(table[gram, k] * weight, first) for k in range(DIMENSIONS)], 1)
-        vec = np.stack([np.bincount(window, word_vec[words, k], n_windows) for k in range(DIMENSIONS)], 1) / per_window[:, None]
-        z = vec @ (soft[:, 1] - soft[:, 0]) + bias
+        keep = np.flatnonzero(rng.random(len(gram), np.float32) >= DROP)
+        g, o = gram[keep], owner[keep]
+        kept = np.maximum(np.bincount(o, minlength=n_words), 1)
+        direction = soft[:, 1] - soft[:, 0]
+        z, vec = np.full(n_windows, bias), []
+        for k in range(DIMENSIONS):
+            word = np.bincount(o, table[k][g], n_words) / kept
+            vec.append((np.bincount(window, word[words], n_windows) / per_window).astype(np.float32))
+            z += direction[k] * vec[-1]
         p = 1 / (1 + np.exp(-z))
         none = np.exp(-np.bincount(doc, np.logaddexp(0, z), len(texts)))[doc]  # probability that no window is toxic
-        slope = np.where(y == 1, -p * none / np.maximum(1 - none, 1e-9), p) / len(texts)
-        direction = soft[:, 1] - soft[:, 0]
-        of_soft = vec.T @ slope
-        of_word = np.bincount(words, (slope / per_window)[window], len(sizes))
-        of_gram = np.bincount(gram, np.repeat(of_word, sizes) * weight, BUCKETS)
-        step = of_gram[:, None] * direction[None] + DECAY / len(texts) * table
+        slope = np.where(toxic_window, -p * none / np.maximum(1 - none, 1e-9), p) / len(texts)
+        of_soft = np.array([v @ slope for v in vec])
+        of_word = np.bincount(words, (slope / per_window)[window], n_words) / kept
+        of_gram = np.bincount(g, of_word[o], BUCKETS)
+        step = direction[:, None] * of_gram + DECAY / len(texts) * table
         grown += step ** 2
-        table -= (RATE * step / np.sqrt(grown)).astype(np.float32) * (np.abs(of_gram) > 0)[:, None]
+        table -= (RATE * step / np.sqrt(grown) * (of_gram != 0)).astype(np.float32)
         both = np.stack([-of_soft, of_soft], 1)
         grown_soft += both ** 2
         soft -= RATE * both / np.sqrt(grown_soft)
         grown_bias += slope.sum() ** 2
         bias -= RATE * slope.sum() / np.sqrt(grown_bias)
-    return Toxicity((table @ (soft[:, 1] - soft[:, 0])).astype(np.float64), float(bias))
+    return Toxicity((soft[:, 1] - soft[:, 0]) @ table.astype(np.float64), float(bias))
+
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Toxicity:
