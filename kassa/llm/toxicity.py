@@ -39,7 +39,7 @@ BUCKETS = 1 << 17
 DIMENSIONS = 4
 GRAMS = (3, 4, 5)
 WINDOW = 1
-SAMPLE_ROWS, SAMPLE_CHARS = 2000, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 3000, 20_000
 STEPS, RATE, DROP, DECAY = 40, 0.5, 0.5, 0.1
 MISSPELT = 0.7   # of the longer words of a text that is learned from once more
 TOXIC_FROM = 0.7
