@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from kassa.plans.sizing import bounded_rows
 from kassa.schemas import DEDUP_KEYS
-from kassa.session import checkpoint_dir
+from kassa.session import checkpoint_dir, materialize
 
 _UNORDERABLE = ("map<", "variant")
 
@@ -52,7 +52,7 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
                     keep: str = "mark", column: str = "rownumber",
                     tiebreak: bool = True, skew: str = "auto",
                     hot_key_rows: int = 2_000_000, sample_fraction: float | None = None,
-                    max_hot_keys: int = 10_000, rows_per_task: int = 4_000_000,
+                    rows_per_task: int = 4_000_000,
                     hot_keys: list | DataFrame | None = None) -> DataFrame:
     """Number rows per ``keys`` by ``order`` (newest first by default).
 
@@ -81,53 +81,44 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
         return df.withColumn(column, F.row_number().over(w))
 
     if hot_keys is not None:
-        hot = _given_hot_keys(df, keys, hot_keys, max_hot_keys, rows_per_task)
+        hot, est_rows = _given_hot_keys(df, keys, hot_keys, rows_per_task)
     else:
-        hot = _hot_keys(df, keys, hot_key_rows, sample_fraction, max_hot_keys)
-    if hot is None:
+        hot, est_rows = _hot_keys(df, keys, hot_key_rows, sample_fraction)
+    if hot.isEmpty():
         return df.withColumn(column, F.row_number().over(w))
-    hot_df, est_hot_rows = hot
-    hot_b = F.broadcast(hot_df)
-    light = df.join(hot_b, _null_safe_on(df, hot_b, keys), "left_anti")
-    heavy = df.join(hot_b, _null_safe_on(df, hot_b, keys), "left_semi")
-    n_parts = max(2, math.ceil(est_hot_rows / rows_per_task))
+    # The input is evaluated once more, into a table; the light and the heavy
+    # part are read from it. ``_uid`` tells identical rows apart.
+    base = materialize(df.withColumn("_uid", F.monotonically_increasing_id()), "marked")
+    light = base.join(hot, _null_safe_on(base, hot, keys), "left_anti").drop("_uid")
+    heavy = base.join(hot, _null_safe_on(base, hot, keys), "left_semi")
+    n_parts = max(2, math.ceil(est_rows / rows_per_task))
     return (light.withColumn(column, F.row_number().over(w))
-            .unionByName(_number_by_range(heavy, keys, ordering, column, n_parts)))
+            .unionByName(_number_by_range(heavy, keys, [*ordering, F.col("_uid")], column, n_parts).drop("_uid")))
 
 
 def _hot_keys(df: DataFrame, keys: list[str], hot_key_rows: int,
-              sample_fraction: float | None, max_hot_keys: int):
+              sample_fraction: float | None) -> tuple[DataFrame, float]:
     """Keys estimated to hold more than ``hot_key_rows`` rows, from a sample
-    of the key columns only (the scan prunes every other column).
-
-    Returns ``(keys_df, estimated_rows)`` or None when there is no hot key or
-    too many to broadcast (then the plain window is used: exact, slower).
-    """
+    of the key columns only (the scan prunes every other column), and the
+    estimated number of their rows. There are at most about rows /
+    ``hot_key_rows`` such keys; they are written as a table, so Spark knows
+    its size and broadcasts or shuffles it accordingly."""
     frac = sample_fraction if sample_fraction is not None else min(1.0, 2000.0 / hot_key_rows)
     min_hits = max(1, int(hot_key_rows * frac))
-    sampled = (df.select(*keys).sample(fraction=frac, seed=17)
-               .groupBy(*keys).count().filter(F.col("count") >= min_hits))
-    rows = sampled.limit(max_hot_keys + 1).collect()
-    if not rows or len(rows) > max_hot_keys:
-        return None
-    est = sum(r["count"] for r in rows) / frac
-    spark = df.sparkSession
-    key_schema = df.select(*keys).schema
-    hot_df = spark.createDataFrame([tuple(r[k] for k in keys) for r in rows], key_schema)
-    return hot_df, est
+    hits = materialize(df.select(*keys).sample(fraction=frac, seed=17)
+                       .groupBy(*keys).agg(F.count(F.lit(1)).alias("_hits")).filter(F.col("_hits") >= min_hits), "hot-keys")
+    est = hits.agg(F.sum("_hits")).first()[0] or 0
+    return hits.drop("_hits"), est / frac
 
 
-def _given_hot_keys(df: DataFrame, keys: list[str], hot_keys, max_hot_keys: int,
-                    rows_per_task: int):
-    """Caller-supplied hot keys as a bounded frame; without a sample the
-    number of range partitions follows the shuffle partition setting."""
+def _given_hot_keys(df: DataFrame, keys: list[str], hot_keys, rows_per_task: int) -> tuple[DataFrame, float]:
+    """Caller-supplied hot keys; without a sample the number of range
+    partitions follows the shuffle partition setting."""
     spark = df.sparkSession
     if isinstance(hot_keys, DataFrame):
-        hot_df = hot_keys.select(*keys)
+        hot_df = hot_keys.select(*keys).distinct()
     else:
         hot_df = spark.createDataFrame([tuple(k) for k in hot_keys], df.select(*keys).schema)
-    if not bounded_rows(hot_df, max_hot_keys):
-        return None
     parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     return hot_df, float(parts * rows_per_task)
 

@@ -409,8 +409,11 @@ def _merge_sql(target_regions: list[str], update_regions: list[str]) -> str:
     upd_cols = ", ".join("lineitem_quantity + 1 AS lineitem_quantity" if c == "lineitem_quantity"
                          else c for c in CURATED_COLS)
     on = " AND ".join(f"t.{k} = u.{k}" for k in MERGE_KEYS)
+    newest = ", ".join(["sourcets DESC NULLS LAST"] + [f"{c} ASC NULLS FIRST" for c in CURATED_COLS
+                                                       if c not in MERGE_KEYS and c != "sourcets"])
     return curated_sql_cte()[:-1] + f""",
-cur AS (SELECT {curated_text()} FROM enriched),
+cur0 AS (SELECT {curated_text()} FROM enriched),
+cur AS (SELECT * FROM cur0 QUALIFY row_number() OVER (PARTITION BY {', '.join(MERGE_KEYS)} ORDER BY {newest}) = 1),
 target AS (SELECT * FROM cur WHERE region IN ({q(target_regions)})),
 updates AS (SELECT {upd_cols} FROM cur WHERE region IN ({q(update_regions)}))
 SELECT t.* FROM target t WHERE NOT EXISTS (SELECT 1 FROM updates u WHERE {on})
@@ -429,6 +432,80 @@ def sql_merge_matched_only():
     return _merge_sql(["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"], ["EUROPE"])
 
 
+LINES = """lines AS (
+  SELECT l_orderkey, l_linenumber, max(l_quantity)::DOUBLE AS quantity,
+         CASE l_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN '01' WHEN 3 THEN '1' ELSE max(l_returnflag) END AS region,
+         CASE WHEN l_linenumber <> 3 THEN max(year(l_shipdate))::VARCHAR END AS invoice_year
+  FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+
+
+def sql_upsert_on_disk():
+    return _with(LINES) + ("SELECT l_orderkey, l_linenumber, quantity + CASE WHEN l_linenumber >= 3 THEN 100 ELSE 0 END AS quantity, "
+                           "region, invoice_year FROM lines")
+
+
+def sql_merge_moving_partition():
+    return _with(LINES) + ("SELECT l_orderkey, l_linenumber, quantity, CASE WHEN l_linenumber <= 2 THEN 'moved ' || l_linenumber "
+                           "ELSE region END AS region, invoice_year FROM lines")
+
+
+def sql_load_summary():
+    return monthly_sql("SELECT * FROM monthly").replace("FROM enriched GROUP BY", "FROM enriched WHERE invoicets >= TIMESTAMP '1998-01-01' GROUP BY")
+
+
+def sql_dedup_mark_hot():
+    return _with(STAGED, prepared_cte("float"), dedup_cte(["region"], PREPARED_COLS)) + \
+        f"SELECT {text_of(PREPARED_COLS + ['rownumber'])} FROM marked"
+
+
+def dirty_cte() -> str:
+    """STAGED with values spoilt by the rules of ``queries.dirty``."""
+    o, pos = f"CAST({P}InvoiceNo AS BIGINT)", f"CAST({P}StorePos AS INTEGER)"
+    spoil = {
+        "InvoiceNo": f"CASE {o} % 11 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '99999999999999999999' ELSE {P}InvoiceNo END",
+        "InvoiceDateTime": f"CASE {o} % 7 WHEN 0 THEN NULL WHEN 1 THEN '1995-02-30 10:00:00' WHEN 2 THEN 'soon' ELSE {P}InvoiceDateTime END",
+        "Region": f"CASE {o} % 13 WHEN 0 THEN '  ' WHEN 1 THEN NULL ELSE {P}Region END",
+        "StoreNo": f"CASE WHEN {pos} = 1 THEN NULL ELSE {P}StoreNo END",
+        "LineItem_Quantity": f"CASE {pos} WHEN 2 THEN NULL WHEN 3 THEN 'many' ELSE {P}LineItem_Quantity END",
+        "LineItem_UnitPrice": f"CASE {pos} WHEN 4 THEN '$1,234.50' WHEN 5 THEN '' ELSE {P}LineItem_UnitPrice END",
+        "LineItem_SalePrice": f"CASE {pos} WHEN 6 THEN NULL WHEN 7 THEN '$' ELSE {P}LineItem_SalePrice END",
+        "Customer_CustomerID": f"CASE WHEN {o} % 5 = 0 THEN NULL ELSE {P}Customer_CustomerID END",
+        "SourceTimestamp": f"CASE WHEN {o} % 3 = 0 THEN NULL ELSE {P}SourceTimestamp END"}
+    cols = ", ".join(f"{spoil.get(c[len(P):], c)} AS {c}" for c in STAGING_COLUMNS)
+    return STAGED.replace("staged AS (", "whole AS (") + f",\nstaged AS (SELECT {cols} FROM whole)"
+
+
+def sql_type_conversion_dirty():
+    cols = [f"CAST({c} AS VARCHAR) AS {c}" if c in ("invoiceno", "customer_customerid", "invoice_year", "invoice_month")
+            else "CAST(invoicedate AS VARCHAR) AS invoicedate" if c == "invoicedate"
+            else text_of([c]) for c in CLEAN_COLS]
+    return _with(dirty_cte(), clean_cte("float")) + f"SELECT {', '.join(cols)} FROM clean"
+
+
+def sql_null_fill_dirty():
+    cols = [f"CAST({c} AS VARCHAR) AS {c}" if c in ("invoice_year", "invoice_month") else text_of([c]) for c in CLEAN_COLS]
+    return _with(dirty_cte(), clean_cte("float"), filled_cte("float")) + f"SELECT {', '.join(cols)} FROM filled"
+
+
+def sql_monthly_sales_nan():
+    return _with(dirty_cte(), clean_cte("float"), filled_cte("float")) + (
+        "SELECT region, storepos, count(DISTINCT invoiceno) AS num_invoices, sum(lineitem_quantity) AS total_quantity, "
+        "CAST(sum(CASE WHEN lineitem_saleprice IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_price FROM filled GROUP BY ALL")
+
+
+def sql_merge_null_key():
+    return _with(dirty_cte(), f"""r AS (SELECT {long_of(P + 'InvoiceNo')} AS invoiceno, {P}StorePos AS storepos,
+    {P}LineItem_StockCode AS stock FROM staged),
+u AS (SELECT * FROM r WHERE storepos IN ('1', '2')),
+m AS (SELECT invoiceno, storepos, 'new' AS state FROM u UNION ALL
+      SELECT invoiceno, storepos, 'old' FROM r WHERE invoiceno IS NULL OR storepos NOT IN ('1', '2'))""") + \
+        "SELECT invoiceno IS NULL AS no_invoice, storepos, state, count(*) AS n FROM m GROUP BY ALL"
+
+
+def sql_files_round_trip():
+    return sql_final_sale_price()
+
+
 def sql_flatten_nested():
     return sql_scan_parquet()
 

@@ -17,10 +17,11 @@ from pyspark.sql import types as T
 
 from kassa.functions import casts, derive
 from kassa.operators import aggregate, clean, dedup, enrich, merge, nested, trends
-from kassa.schemas import DEDUP_KEYS_DAILY, transaction_schema
-from kassa.session import materialize
-from kassa.sinks import stream_files
-from kassa.sources import testmap
+from kassa.plans import batch
+from kassa.schemas import DEDUP_KEYS_DAILY, MERGE_KEYS, transaction_schema
+from kassa.session import materialize, scratch_path
+from kassa.sinks import snapshots, stream_files, tables
+from kassa.sources import files, testmap
 
 # Fixed reference instant for ``processing_delay`` so results are repeatable.
 AS_OF = "2025-01-01 00:00:00"
@@ -161,6 +162,90 @@ def q_dedup_latest(spark, d):
     return comparable(dedup.mark_duplicates(prepared(spark, d), keep="latest"))
 
 
+def q_dedup_mark_hot(spark, d):
+    """Marks per region: a handful of keys that hold everything, numbered by
+    the range-partitioned path."""
+    return comparable(dedup.mark_duplicates(prepared(spark, d), ["region"], hot_key_rows=500, sample_fraction=1.0,
+                                            rows_per_task=2000))
+
+
+# -- dirty input --------------------------------------------------------------
+
+def dirty(spark, d):
+    """Staged rows spoilt by rule, by line position and order: NULL and blank
+    ids, numbers and times, times that don't exist, numbers that overflow,
+    prices with a thousands separator, regions of blanks only."""
+    s, p = staged(spark, d), "RetailTxnData_"
+    pos, order = F.col(p + "StorePos").cast("int"), F.col(p + "InvoiceNo").cast("long")
+    spoil = {
+        p + "InvoiceNo": F.when(order % 11 == 0, None).when(order % 11 == 1, "").when(order % 11 == 2, "99999999999999999999")
+        .otherwise(F.col(p + "InvoiceNo")),
+        p + "InvoiceDateTime": F.when(order % 7 == 0, None).when(order % 7 == 1, "1995-02-30 10:00:00").when(order % 7 == 2, "soon")
+        .otherwise(F.col(p + "InvoiceDateTime")),
+        p + "Region": F.when(order % 13 == 0, "  ").when(order % 13 == 1, None).otherwise(F.col(p + "Region")),
+        p + "StoreNo": F.when(pos == 1, None).otherwise(F.col(p + "StoreNo")),
+        p + "LineItem_Quantity": F.when(pos == 2, None).when(pos == 3, "many").otherwise(F.col(p + "LineItem_Quantity")),
+        p + "LineItem_UnitPrice": F.when(pos == 4, "$1,234.50").when(pos == 5, "").otherwise(F.col(p + "LineItem_UnitPrice")),
+        p + "LineItem_SalePrice": F.when(pos == 6, None).when(pos == 7, "$").otherwise(F.col(p + "LineItem_SalePrice")),
+        p + "Customer_CustomerID": F.when(order % 5 == 0, None).otherwise(F.col(p + "Customer_CustomerID")),
+        p + "SourceTimestamp": F.when(order % 3 == 0, None).otherwise(F.col(p + "SourceTimestamp")),
+    }
+    return s.withColumns(spoil)
+
+
+def q_type_conversion_dirty(spark, d):
+    return comparable(_long_as_text(clean.type_conversion(dirty(spark, d))))
+
+
+def q_null_fill_dirty(spark, d):
+    return comparable(_year_as_text(clean.fill_nulls(clean.type_conversion(dirty(spark, d)))))
+
+
+def q_monthly_sales_nan(spark, d):
+    """Counts and sums per region over filled rows: a NaN fill makes a sum NaN."""
+    rows = clean.fill_nulls(clean.type_conversion(dirty(spark, d)))
+    return rows.groupBy("region", "storepos").agg(
+        F.countDistinct("invoiceno").alias("num_invoices"), F.sum("lineitem_quantity").alias("total_quantity"),
+        F.sum(F.col("lineitem_saleprice").isNull().cast("long")).alias("no_price"))
+
+
+def q_merge_null_key(spark, d):
+    """Rows without an invoice number never match: they stay and come again."""
+    rows = dirty(spark, d).select(
+        casts.lenient_long("RetailTxnData_InvoiceNo").alias("invoiceno"), F.col("RetailTxnData_StorePos").alias("storepos"),
+        F.col("RetailTxnData_LineItem_StockCode").alias("stock"), F.lit("old").alias("state"))
+    updates = rows.filter("storepos in ('1', '2')").withColumn("state", F.lit("new"))
+    return merge.merge_frames(rows, updates, ["invoiceno", "storepos", "stock"], on_ambiguous="allow").groupBy(
+        F.col("invoiceno").isNull().alias("no_invoice"), "storepos", "state").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _long_as_text(df):
+    return _year_as_text(df).withColumns({c: F.col(c).cast("string") for c, t in df.dtypes if t == "bigint"})
+
+
+def _year_as_text(df):
+    """Integers with NULLs have no engine-neutral form."""
+    return df.withColumns({c: F.col(c).cast("string") for c in ("invoice_year", "invoice_month") if c in df.columns})
+
+
+# -- files written and read back ------------------------------------------------
+
+def q_files_round_trip(spark, d):
+    """Staged rows as nested JSON lines, read back and flattened, enriched from
+    dimensions that went through CSV."""
+    base, st = scratch_path(spark, "files"), staged(spark, d)
+    testmap.nested_documents(st).write.json(f"{base}/deep/lines")
+    cur, conv, disc = testmap.dims(spark, d)
+    for name, dim in (("currency", cur), ("conversion", conv), ("discount", disc)):
+        dim.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{base}/{name}")
+    docs = files.read_json_lines(spark, base + "/deep")
+    got = files.read_dimensions(spark, f"{base}/currency", f"{base}/conversion", f"{base}/discount")
+    flat = nested.flatten(docs)
+    rows = enrich.enrich(clean.null_handling(clean.type_conversion(flat, "decimal"), as_of=AS_OF), *got, "decimal")
+    return comparable(rows.select("invoiceno", "storeno", "lineitem_stockcode", "lineitem_saleprice", "discount_value",
+                                  "conversion_rate", "lineitem_finalsaleprice"))
+
+
 # -- enrichment -------------------------------------------------------------
 
 def q_enrich_currency(spark, d):
@@ -212,7 +297,9 @@ def q_preview_limit(spark, d):
 def _merge_sides(spark, d, target_regions, update_regions):
     # The curated rows are written once, as the target table would be, and
     # both sides are read from that table.
-    c = materialize(comparable(curated(spark, d)), "curated")
+    # MERGE rejects several update rows for one target row, and the
+    # smallest tables repeat some keys: the newest line of each key goes in.
+    c = materialize(dedup.mark_duplicates(comparable(curated(spark, d)), MERGE_KEYS, keep="latest", column="_rn").drop("_rn"), "curated")
     target = c.filter(F.col("region").isin(target_regions))
     updates = c.filter(F.col("region").isin(update_regions)).withColumn(
         "lineitem_quantity", F.col("lineitem_quantity") + 1)
@@ -235,6 +322,44 @@ def q_merge_matched_only(spark, d):
     return merge.merge_frames(t, u)
 
 
+def _lines(spark, d):
+    """Line items with partition values that test the writers: blank, NULL
+    and number-like regions, NULL years."""
+    li = testmap.table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_quantity").cast("double").alias("quantity"), F.max("l_returnflag").alias("flag"), F.max(F.year("l_shipdate")).alias("year"))
+    pick = F.col("l_orderkey") % 5
+    region = (F.when(pick == 0, "").when(pick == 1, F.lit(None).cast("string")).when(pick == 2, "01")
+              .when(pick == 3, "1").otherwise(F.col("flag")))
+    return li.select("l_orderkey", "l_linenumber", "quantity", region.alias("region"),
+                     F.when(F.col("l_linenumber") != 3, F.col("year")).alias("invoice_year"))
+
+
+def q_upsert_on_disk(spark, d):
+    path, lines, keys = scratch_path(spark, "upsert-query"), _lines(spark, d), ["l_orderkey", "l_linenumber", "region", "invoice_year"]
+    updates = lines.filter("l_linenumber >= 3").withColumn("quantity", F.col("quantity") + 100)
+    for rows in (lines.filter("l_linenumber <= 4"), updates, updates):  # the second time changes nothing
+        tables.upsert_partitioned(spark, rows, path, keys, null_safe=True)
+    return _year_as_text(tables.read_table(spark, path, lines.schema))
+
+
+def q_merge_moving_partition(spark, d):
+    path, lines, keys = scratch_path(spark, "moving-query"), _lines(spark, d), ["l_orderkey", "l_linenumber"]
+    moved = lines.filter("l_linenumber <= 2").withColumn("region", F.concat(F.lit("moved "), F.col("l_linenumber").cast("string")))
+    cols = ["region", "invoice_year"]
+    snapshots.merge_snapshot(spark, lines.filter("l_linenumber <> 2"), path, keys, cols)
+    snapshots.merge_snapshot(spark, moved, path, keys, cols)
+    return _year_as_text(snapshots.read_snapshot(spark, path, lines.schema))
+
+
+def q_load_summary(spark, d):
+    """Two loads into one table; the summary is that of the second batch."""
+    path, st = scratch_path(spark, "load-query"), staged(spark, d)
+    late = F.col("RetailTxnData_InvoiceDateTime") >= "1998"
+    dims = testmap.dims(spark, d)
+    batch.load_job(spark, st.filter(~late), *dims, path, money="decimal", on_ambiguous="latest")
+    return comparable(batch.load_job(spark, st.filter(late), *dims, path, money="decimal", on_ambiguous="latest"))
+
+
 # -- nested payloads ------------------------------------------------------------
 
 def q_flatten_nested(spark, d):

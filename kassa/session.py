@@ -39,29 +39,28 @@ def get_session(master: str | None = None, app: str = "kassa",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        if not k.startswith("spark.ui") and not k.startswith("spark.driver"):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf of an already running session
-                pass
+        if spark.conf.isModifiable(k):  # the rest is fixed once a session runs
+            spark.conf.set(k, v)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system
-    every executor can reach). Only when it is unset, as in local tests, do we
-    create a scratch folder and register it.
+    On a cluster the deployment has to set it (a shared file system that every
+    executor can reach); without it this raises. Only a local master, where
+    driver and executors are one process, gets a scratch folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
+    if not configured:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
+        configured = tempfile.mkdtemp(prefix="kassa-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if not spark.sparkContext.getCheckpointDir():  # each call makes a folder
         spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="kassa-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -77,4 +76,14 @@ def materialize(df, name: str):
     expressions that a later filter would otherwise be pushed through."""
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path  # for ``discard``
+    return out
+
+
+def discard(df) -> None:
+    """Delete the folder behind a frame that ``materialize`` returned, once
+    nothing reads it any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,0 +1,105 @@
+"""Upsert for keys that do not fix the partition.
+
+A matched row may move to another partition, so its old and its new partition
+change together. Each commit writes the partitions it changes to a folder of
+its own, ``data/version=<n>/<partition>``, and then replaces the small pointer
+file ``_current``, which lists the live partition folders. Readers see the
+table before or after a commit, never between. Partitions that a commit does
+not touch are neither read nor written.
+"""
+
+from __future__ import annotations
+
+import json
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+from kassa.operators.merge import key_condition, merge_frames
+from kassa.schemas import MERGE_KEYS_NOTEBOOK, PARTITION_COLS_NOTEBOOK
+from kassa.session import discard, materialize
+from kassa.sinks.tables import blank_as_null, in_partitions, partitions_of, write_partitioned
+
+POINTER = "_current"
+
+
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    return hadoop, hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def pointer(spark: SparkSession, path: str) -> dict:
+    """{"version": last commit, "folders": live partition folders}; version 0
+    and no folder for a table that has no commit yet."""
+    hadoop, fs = _fs(spark, path)
+    if not fs.exists(hadoop(path, POINTER)):
+        return {"version": 0, "folders": []}
+    stream = fs.open(hadoop(path, POINTER))
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, path: str, state: dict) -> None:
+    hadoop, fs = _fs(spark, path)
+    new, live = hadoop(path, f"{POINTER}.{state['version']}"), hadoop(path, POINTER)
+    out = fs.create(new, True)
+    out.write(json.dumps(state).encode())
+    out.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(options, 1)
+    how[0] = options.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(new), fs.makeQualified(live), how)
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The live rows."""
+    folders = pointer(spark, path)["folders"]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(
+        *[f"{path}/data/{f}" for f in folders]).select(*schema.names)
+
+
+def _written(spark: SparkSession, path: str, version: int, depth: int) -> list[str]:
+    """Partition folders of a version, relative to ``data``."""
+    hadoop, fs = _fs(spark, path)
+    level = [f"version={version}"]
+    for _ in range(depth):
+        level = [f"{parent}/{s.getPath().getName()}" for parent in level
+                 for s in fs.listStatus(hadoop(f"{path}/data/{parent}")) if s.isDirectory() and s.getPath().getName()[:1] not in "_."]
+    return level
+
+
+def merge_snapshot(spark: SparkSession, updates: DataFrame, path: str, keys: list[str] | None = None,
+                   partition_cols: list[str] | None = None, null_safe: bool = False,
+                   on_ambiguous: str = "error") -> dict:
+    """MERGE ``updates`` into the table at ``path``. Returns the new pointer
+    with ``rewritten``, the number of partitions written."""
+    keys, cols = list(keys or MERGE_KEYS_NOTEBOOK), list(partition_cols or PARTITION_COLS_NOTEBOOK)
+    staged = materialize(blank_as_null(updates, cols), "snapshot")
+    scratch = [staged]
+    try:
+        before = pointer(spark, path)
+        live = read_snapshot(spark, path, staged.schema)
+        changed = staged.select(*keys).distinct()
+        found = live.join(changed, key_condition(live, changed, keys, null_safe), "left_semi")
+        touched = in_partitions(partitions_of(found.select(*cols).union(staged.select(*cols)), cols), cols)
+        # where the touched partitions lie now; their names come from the files
+        old = live.where(touched)
+        name = F.regexp_extract(F.input_file_name(), r"/data/(version=\d+/.*)/[^/]*$", 1)
+        gone = {unquote(r[0]) for r in old.select(name).distinct().collect()}
+        version = before["version"] + 1
+        merged = merge_frames(old, staged, keys, null_safe, on_ambiguous, scratch=scratch)
+        write_partitioned(merged.select(*staged.columns), f"{path}/data/version={version}", cols)
+        new = _written(spark, path, version, len(cols))
+        kept = [f for f in before["folders"] if f not in gone]
+        state = {"version": version, "folders": kept + new}
+        _commit(spark, path, state)
+        return state | {"rewritten": len(new)}
+    finally:
+        for frame in scratch:
+            discard(frame)

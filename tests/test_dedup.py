@@ -78,3 +78,20 @@ def test_given_hot_keys_skip_sampling(spark):
     a = sorted(tuple(str(x) for x in r) for r in plain.collect())
     b = sorted(tuple(str(x) for x in r) for r in given.collect())
     assert a == b
+
+
+def test_identical_rows_spread_over_partitions(spark):
+    df = spark.range(8000).select(F.lit("hot").alias("k1"), F.lit(1).cast("long").alias("k2"), F.lit("t").alias("ts"),
+                                  F.lit(1).cast("long").alias("v"), F.lit("x").alias("w"))
+    out = mark_duplicates(df, KEYS, "ts", hot_key_rows=100, sample_fraction=0.5, rows_per_task=1000)
+    assert sorted(r.rownumber for r in out.collect()) == list(range(1, 8001))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 4000
+
+
+def test_many_hot_keys_all_take_the_range_path(spark):
+    df = spark.range(30000).select((F.col("id") % 12000).cast("string").alias("k1"), F.lit(1).cast("long").alias("k2"),
+                                   F.col("id").cast("string").alias("ts"), F.lit(1).cast("long").alias("v"), F.lit("x").alias("w"))
+    plain = mark_duplicates(df, KEYS, "ts", skew="off")
+    split = mark_duplicates(df, KEYS, "ts", hot_key_rows=1, sample_fraction=1.0, rows_per_task=5000)
+    assert plain.exceptAll(split).count() == 0 and split.count() == 30000

@@ -6,7 +6,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from kassa.operators.merge import merge_frames
-from kassa.sinks.tables import upsert_partitioned
+from kassa.sinks.snapshots import merge_snapshot, read_snapshot
+from kassa.sinks.tables import read_table, table_exists, upsert_partitioned
 
 SCHEMA = "k long, region string, invoice_year int, v string, sourcets string"
 KEYS = ["k", "region"]
@@ -88,13 +89,69 @@ def test_upsert_on_disk(spark, tmpdir_path):
     assert rows_of(spark.read.parquet(path)) == got
 
 
-def test_upsert_when_partition_can_move(spark, tmpdir_path):
-    """Key without the partition column: a matched row may change partition,
-    so the whole table is rewritten and the old copy disappears."""
-    path = os.path.join(tmpdir_path, "curated2")
-    upsert_partitioned(spark, df(spark, [(1, "A", 2020, "a", "1"), (2, "B", 2020, "b", "1")]),
-                       path, ["k"], PARTS)
-    mode = upsert_partitioned(spark, df(spark, [(1, "B", 2020, "moved", "2")]), path, ["k"], PARTS)
-    assert mode == "rewritten"
-    assert rows_of(spark.read.parquet(path)) == sorted([("1", "B", "2020", "moved", "2"),
-                                                        ("2", "B", "2020", "b", "1")])
+def test_upsert_refuses_keys_that_do_not_fix_the_partition(spark, tmpdir_path):
+    with pytest.raises(ValueError):
+        upsert_partitioned(spark, df(spark, [(1, "A", 2020, "a", "1")]), os.path.join(tmpdir_path, "t"), ["k"], PARTS)
+
+
+def test_moving_rows_rewrite_only_old_and_new_partitions(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "snap")
+    first = df(spark, [(1, "A", 2020, "a", "1"), (2, "B", 2020, "b", "1"), (3, "C c/%:", 2021, "c", "1"), (4, None, 2021, "n", "1"),
+                       (5, "", 2021, "blank", "1"), (6, "A", None, "y", "1")])
+    state = merge_snapshot(spark, first, path, ["k"], PARTS)
+    assert state["version"] == 1 and state["rewritten"] == 5
+    state = merge_snapshot(spark, df(spark, [(1, "B", 2020, "moved", "2"), (4, "C c/%:", 2021, "moved", "2")]), path, ["k"], PARTS)
+    # A/2020 is empty now, B/2020 and C/2021 and NULL/2021 (row 5 stays) are rewritten
+    assert state["rewritten"] == 3 and len(state["folders"]) == 4
+    assert sum(f.startswith("version=1/") for f in state["folders"]) == 1
+    assert rows_of(read_snapshot(spark, path, first.schema)) == sorted([
+        ("1", "B", "2020", "moved", "2"), ("2", "B", "2020", "b", "1"), ("3", "C c/%:", "2021", "c", "1"),
+        ("4", "C c/%:", "2021", "moved", "2"), ("5", "None", "2021", "blank", "1"), ("6", "A", "None", "y", "1")])
+
+
+def test_snapshot_readers_see_a_failed_commit_not_at_all(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "snap2")
+    merge_snapshot(spark, df(spark, [(1, "A", 2020, "a", "1")]), path, ["k"], PARTS)
+    df(spark, [(9, "A", 2020, "half", "1")]).write.partitionBy(*PARTS).parquet(f"{path}/data/version=2")  # no pointer
+    assert rows_of(read_snapshot(spark, path, df(spark, []).schema)) == [("1", "A", "2020", "a", "1")]
+    merge_snapshot(spark, df(spark, [(2, "A", 2020, "b", "1")]), path, ["k"], PARTS)
+    assert rows_of(read_snapshot(spark, path, df(spark, []).schema)) == [("1", "A", "2020", "a", "1"), ("2", "A", "2020", "b", "1")]
+
+
+ALL = KEYS + ["invoice_year"]
+
+
+def test_blank_and_null_partitions_lose_nothing(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "blank")
+    upsert_partitioned(spark, df(spark, [(1, "", 2020, "a", "1"), (2, "A", 2020, "b", "1"), (7, None, None, "c", "1")]), path, ALL, PARTS)
+    upsert_partitioned(spark, df(spark, [(9, "", 2020, "x", "2"), (3, "A", 2020, "y", "2"), (7, "", None, "z", "2")]), path, ALL, PARTS,
+                       null_safe=True)
+    got = rows_of(read_table(spark, path, df(spark, []).schema))
+    assert got == sorted([("1", "None", "2020", "a", "1"), ("2", "A", "2020", "b", "1"), ("9", "None", "2020", "x", "2"),
+                          ("3", "A", "2020", "y", "2"), ("7", "None", "None", "z", "2")])
+
+
+@pytest.mark.parametrize("regions", [("01", "02"), ("NaN", "B"), (None, "B"), ("", "1.0")])
+def test_partition_values_keep_their_type(spark, tmpdir_path, regions):
+    path = os.path.join(tmpdir_path, "typed")
+    upsert_partitioned(spark, df(spark, [(1, regions[0], None, "a", "1")]), path, ALL, PARTS)
+    upsert_partitioned(spark, df(spark, [(1, regions[0], None, "a2", "2"), (2, regions[1], 2021, "b", "2")]), path, ALL, PARTS, null_safe=True)
+    assert rows_of(read_table(spark, path, df(spark, []).schema)) == sorted([
+        ("1", str(regions[0] or None), "None", "a2", "2"), ("2", str(regions[1]), "2021", "b", "2")])
+
+
+def test_leftovers_of_a_failed_first_load_are_no_table(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "left")
+    os.makedirs(os.path.join(path, "_temporary", "0"))
+    open(os.path.join(path, "_temporary", "0", "part-0.parquet"), "w").close()
+    assert not table_exists(spark, path)
+    assert upsert_partitioned(spark, df(spark, [(1, "A", 2020, "a", "1")]), path, ALL, PARTS) == "created"
+    assert table_exists(spark, path)
+
+
+def test_upserts_leave_no_scratch(spark, tmpdir_path):
+    base = spark.conf.get("spark.checkpoint.dir")
+    path, before = os.path.join(tmpdir_path, "scratch"), set(os.listdir(base))
+    for v in "ab":
+        upsert_partitioned(spark, df(spark, [(1, "A", 2020, v, "1")]), path, ALL, PARTS)
+    assert set(os.listdir(base)) == before
