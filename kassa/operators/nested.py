@@ -28,20 +28,27 @@ def decode_payload(df: DataFrame, column: str = "data", alias: str = "payload")
 
 
 def parse_json(df: DataFrame, schema: T.StructType, column: str = "payload",
-               alias: str = "doc", mode: str = "PERMISSIVE") -> DataFrame:
+               alias: str = "doc", mode: str = "PERMISSIVE",
+               required: list[str] | None = None) -> DataFrame:
     """Parse JSON text into ``alias`` with a declared schema.
 
     PERMISSIVE (default) keeps malformed records: ``doc`` is NULL and
-    ``_corrupt_record`` holds the text, ready for a quarantine sink.
+    ``_corrupt_record`` holds the text, ready for a quarantine sink. A record
+    without one of the ``required`` fields (dotted paths) is malformed too.
     FAILFAST raises on the first malformed record (the reference behaviour).
+
+    The parse goes through a one-row generator, which later filters and
+    projections don't cross: each text is parsed once.
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     opts = {"mode": mode, "columnNameOfCorruptRecord": CORRUPT}
     if mode == "FAILFAST":
         return df.withColumn(alias, F.from_json(F.col(column), schema, opts))
     parsed = F.from_json(F.col(column), with_corrupt, opts)
-    out = df.withColumn("_parsed", parsed)
+    out = df.select("*", F.explode(F.array(parsed)).alias("_parsed"))
     bad = F.col(f"_parsed.{CORRUPT}").isNotNull() | F.col("_parsed").isNull()
+    for path in required or []:
+        bad = bad | F.col(f"_parsed.{path}").isNull()
     fields = [F.col(f"_parsed.{f.name}").alias(f.name) for f in schema.fields]
     return (out.withColumn(alias, F.when(~bad, F.struct(*fields)))
             # NULL text (missing or undecodable payload) is malformed too.
@@ -127,14 +134,14 @@ def nest_staging(df: DataFrame, sep: str = "_", root: str | None = None) -> Data
 
 def to_json_records(df: DataFrame, columns: list[str] | None = None,
                     record_id: str | None = "recordId", encode: bool = True) -> DataFrame:
-    """One JSON object per flattened row (NULL fields omitted), optionally
+    """One JSON object per flattened row (NULL fields written), optionally
     base64-wrapped, with ``result = 'Ok'`` and the record id carried along.
 
     One row per record, not objects concatenated without a delimiter: a line
     reader keeps only the first object of such a line.
     """
     cols = list(columns or [c for c in df.columns if c != record_id])
-    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]))
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), {"ignoreNullFields": "false"})
     data = base64_text(text) if encode else text
     keep = [F.col(record_id)] if record_id and record_id in df.columns else []
     return df.select(*keep, F.lit("Ok").alias("result"), data.alias("data"))

@@ -531,10 +531,14 @@ def sql_explode_items():
         f"UNION ALL SELECT {h}, {unit}, {t} FROM staged WHERE {pos} > 4")
 
 
-def _json_obj(pairs: list[tuple[str, str]]) -> str:
-    """JSON object text with Spark's layout: no blanks, NULL fields left out."""
+def _json_obj(pairs: list[tuple[str, str]], nulls: bool = False) -> str:
+    """JSON object text with Spark's layout: no blanks, NULL fields left out
+    or written."""
     parts = []
     for i, (k, v) in enumerate(pairs):
+        if nulls:
+            parts.append(f"'\"{k}\":' || coalesce(CAST(to_json({v}) AS VARCHAR), 'null') || ','")
+            continue
         parts.append(f"CASE WHEN {v} IS NULL THEN '' ELSE '\"{k}\":' || CAST(to_json({v}) AS VARCHAR)"
                      f" || ',' END")
     body = " || ".join(parts)
@@ -570,7 +574,7 @@ def sql_parse_json_props():
 
 
 def sql_flatten_to_json():
-    flat = _json_obj([(c, c) for c in STAGING_COLUMNS])
+    flat = _json_obj([(c, c) for c in STAGING_COLUMNS], nulls=True)
     return _with(STAGED) + (f"SELECT {RECORD_ID} AS recordId, 'Ok' AS result, "
                             f"to_base64(encode({flat})) AS data FROM staged")
 
@@ -600,6 +604,19 @@ def sql_raw_archive_latest():
         "WHERE rn = 1")
 
 
+def sql_archive_from_publish():
+    return sql_raw_archive_latest()
+
+
+def sql_ingest_staged():
+    pos = f"CAST({P}StorePos AS INTEGER)"
+    unit = {P + "LineItem_Quantity": "'1'", P + "LineItem_SalePrice": P + "LineItem_UnitPrice"}
+    single = ", ".join(f"{unit[c]} AS {c}" if c in unit else c for c in STAGING_COLUMNS)
+    every = ", ".join(STAGING_COLUMNS)
+    return _with(STAGED) + (f"SELECT {every} FROM staged WHERE {pos} <= 6 UNION ALL SELECT {every} FROM staged WHERE {pos} = 1 "
+                            f"UNION ALL SELECT {single} FROM staged WHERE {pos} = 6")
+
+
 ORACLE: dict[str, str] = {
     name[4:]: fn() for name, fn in sorted(globals().items())
     if name.startswith("sql_") and callable(fn)

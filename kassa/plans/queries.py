@@ -18,10 +18,11 @@ from pyspark.sql import types as T
 from kassa.functions import casts, derive
 from kassa.operators import aggregate, clean, dedup, enrich, merge, nested, trends
 from kassa.plans import batch
-from kassa.schemas import DEDUP_KEYS_DAILY, MERGE_KEYS, transaction_schema
+from kassa.schemas import DEDUP_KEYS_DAILY, MERGE_KEYS, STAGING_SCHEMA, transaction_schema
 from kassa.session import materialize, scratch_path
 from kassa.sinks import snapshots, stream_files, tables
 from kassa.sources import files, testmap
+from kassa.streaming import ingest
 
 # Fixed reference instant for ``processing_delay`` so results are repeatable.
 AS_OF = "2025-01-01 00:00:00"
@@ -429,6 +430,43 @@ def q_raw_archive_latest(spark, d):
     return latest.select("archive_key", "arrival", "payload")
 
 
+# -- streaming ------------------------------------------------------------------
+
+def _ingested(spark, records_path):
+    base = scratch_path(spark, "ingest")
+    ingest.start_ingest(spark, records_path, f"{base}/archive", f"{base}/stage", f"{base}/quarantine", f"{base}/ckpt").awaitTermination()
+    return base
+
+
+def q_ingest_staged(spark, d):
+    """The stream's staging output for good records, repeated ones (position
+    1), line items as arrays (6) and malformed or incomplete ones (7)."""
+    st, path = staged(spark, d), scratch_path(spark, "records")
+    pos = F.col("RetailTxnData_StorePos").cast("int")
+    good = testmap.envelopes(st.filter(pos <= 5))
+    arrays = testmap.documents_with_item_arrays(st.filter(pos == 6)).select(
+        F.lit("array").alias("recordId"), F.col("RetailTxnData.SourceTimestamp").alias("arrival"),
+        nested.base64_text(F.to_json(F.struct("RetailTxnData"))).alias("data"))
+    spoilt = F.when(F.col("RetailTxnData_InvoiceNo").cast("long") % 2 == 0, '{"foo":1}').otherwise('{"RetailTxnData":{"InvoiceNo":"1"')
+    bad = st.filter(pos == 7).select(F.lit("bad").alias("recordId"), F.lit(None).cast("string").alias("arrival"),
+                                     nested.base64_text(spoilt).alias("data"))
+    for part in (good, testmap.envelopes(st.filter(pos == 1)), arrays, bad):
+        part.write.mode("append").json(path)
+    return files.read_parquet(spark, f"{_ingested(spark, path)}/stage", STAGING_SCHEMA).select(*STAGING_SCHEMA.names)
+
+
+def q_archive_from_publish(spark, d):
+    """Published transactions through the stream into the archive, latest
+    arrival per object."""
+    path = scratch_path(spark, "published")
+    st = staged(spark, d)
+    docs = nested.nest_staging(st.select(testmap.record_id(st).alias("recordId"),
+                                         F.col("RetailTxnData_SourceTimestamp").alias("arrival"), *st.columns))
+    stream_files.publish_records(docs, path)
+    latest = stream_files.read_archive_latest(spark, f"{_ingested(spark, path)}/archive")
+    return latest.select("archive_key", "arrival", "payload")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_")
 }

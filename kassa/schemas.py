@@ -51,13 +51,13 @@ CUSTOMER = T.StructType([
 DISCOUNT = T.StructType([T.StructField("DiscountCode", _S)])
 
 
-def transaction_schema(line_items_as_array: bool = False) -> T.StructType:
+def transaction_schema(line_items_as_array: bool = False, line_items: T.DataType | None = None) -> T.StructType:
     """Schema of one raw transaction document ``{"RetailTxnData": {...}}``.
 
     Leaves are read as strings: the staging table is all-string and the
     typing happens once, in ``type_conversion``.
     """
-    li = T.ArrayType(LINE_ITEM) if line_items_as_array else LINE_ITEM
+    li = line_items or (T.ArrayType(LINE_ITEM) if line_items_as_array else LINE_ITEM)
     txn = T.StructType([
         T.StructField("InvoiceNo", _S), T.StructField("InvoiceDateTime", _S),
         T.StructField("StoreNo", _S), T.StructField("StorePos", _S),
@@ -68,6 +68,9 @@ def transaction_schema(line_items_as_array: bool = False) -> T.StructType:
     return T.StructType([T.StructField("RetailTxnData", txn)])
 
 
+# Without these a record has no place in the archive and is no transaction.
+REQUIRED_FIELDS = ["RetailTxnData.InvoiceNo", "RetailTxnData.StoreNo", "RetailTxnData.InvoiceDateTime", "RetailTxnData.Region"]
+
 # Stream envelope: base64 payload plus an optional record id.
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("recordId", _S), T.StructField("data", _S),

@@ -66,7 +66,7 @@ def test_to_json_records_base64_single_line(spark):
     df = spark.createDataFrame([("id1", "x" * 200, None)], "recordId string, a string, b string")
     out = nested.to_json_records(df).first()
     assert out.result == "Ok" and "\n" not in out.data
-    assert json.loads(base64.b64decode(out.data)) == {"a": "x" * 200}
+    assert json.loads(base64.b64decode(out.data)) == {"a": "x" * 200, "b": None}
 
 
 def test_json_documents_array_and_extension_case(spark, tmpdir_path):
