@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kassa.session import scratch_path
+from kassa.session import discard, scratch_path
 
 #: Arrow batches are kept small: one batch of very long texts has to fit a
 #: Python worker beside its model or tokenizer.
@@ -28,20 +26,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     from the written files."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
 
 
 def drop_kept(df: DataFrame) -> None:
     """Delete the files behind a frame that ``keep`` returned, once nothing
-    reads it any more. Only paths below the shared scratch folder go."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folders = {os.path.dirname(f) for f in df.inputFiles()}
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        if base and jvm.org.apache.hadoop.fs.Path(base).toUri().getPath() in path.toUri().getPath():
-            path.getFileSystem(conf).delete(path, True)
+    reads it any more."""
+    discard(df)
 
 
 def small_batches(spark: SparkSession) -> None:
