@@ -40,8 +40,8 @@ from .components import connected_components
 
 BAND_ROWS = 4
 MISSED = 1e-6
-BUCKET_BLOCK = 4096       # signatures of a block
-SET_BLOCK = 1_000_000     # shingles of a block
+BUCKET_BLOCK, BUCKET_SPREAD = 4096, 256          # signatures: most of a block, fewest of a group that is cut
+SET_BLOCK, SET_SPREAD = 1_000_000, 50_000        # the same in shingles
 PIECE_BYTES = 4_000_000   # of a text that is hashed at a time
 
 U = np.uint64
@@ -149,9 +149,13 @@ def signatures(docs: DataFrame, k: int, hashes: Signatures) -> DataFrame:
         run, "doc_id string, n_shingles long, set_id binary, keys array<long>, minima binary"))
 
 
-def in_blocks(members: DataFrame, key: str, blocks) -> DataFrame:
-    """Deals the members of each ``key`` to pairs of its ``blocks``: adds the
-    columns i <= j, and a row for every pair that the member's block is in."""
+def in_blocks(members: DataFrame, size: str, most: int, spread: int) -> DataFrame:
+    """Deals the members of each group to pairs of its blocks: adds the
+    columns i <= j, and a row for every pair that the member's block is in.
+    The number of blocks grows with the square root of the group's ``size``,
+    which spreads a hot group over tasks at little copying, and from where a
+    block would hold more than ``most``, in proportion."""
+    blocks = F.greatest(F.ceil(F.col(size) / most), F.ceil(F.sqrt(F.col(size) / spread)))
     return (members.withColumn("_n", blocks).withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_n")))
             .withColumn("_other", F.explode(F.when((F.col("_n") == 1), F.array(F.lit(0).cast("long")))
                                             .otherwise(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))))
@@ -280,15 +284,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 80, denominato
 
     in_bands = reps.select("rep", F.explode("keys").alias("key"))
     buckets = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = in_blocks(in_bands.join(buckets, "key"), "key", F.ceil(F.col("n") / BUCKET_BLOCK))
+    shared = in_blocks(in_bands.join(buckets, "key"), "n", BUCKET_BLOCK, BUCKET_SPREAD)
     met = shared.select("key", "i", "j", "rep").join(reps.select("rep", "minima"), "rep")
     near = keep(bucket_links(met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"), hashes.agree)
                 .distinct(), "near")
     nearby = keep(connected_components(near), "nearby")
 
     weight = nearby.join(reps.select("rep", "n"), nearby["node"] == reps["rep"]).groupBy("component").agg(F.sum("n").alias("n"))
-    members = in_blocks(nearby.withColumnRenamed("node", "rep").join(weight, "component"), "component",
-                        F.ceil(F.col("n") / SET_BLOCK))
+    members = in_blocks(nearby.withColumnRenamed("node", "rep").join(weight, "component"), "n", SET_BLOCK, SET_SPREAD)
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("_text"))
     links = keep(verified_links(texts.join(members.hint("shuffle_hash"), "rep"), k, numerator, denominator), "links")
     found = keep(connected_components(links), "components")

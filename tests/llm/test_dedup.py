@@ -59,11 +59,11 @@ def near_copies(rng):
     return texts + [None, "", "one", "ONE", "two words"]
 
 
-@pytest.mark.parametrize("blocks", [(4096, 1_000_000), (3, 200)])
+@pytest.mark.parametrize("blocks", [(4096, 256, 1_000_000, 50_000), (3, 2, 200, 100), (4096, 4, 1_000_000, 300)])
 def test_near_duplicates(spark, monkeypatch, blocks):
     """The same result whether hot buckets and components are cut into blocks or not."""
-    monkeypatch.setattr(minhash, "BUCKET_BLOCK", blocks[0])
-    monkeypatch.setattr(minhash, "SET_BLOCK", blocks[1])
+    for name, value in zip(("BUCKET_BLOCK", "BUCKET_SPREAD", "SET_BLOCK", "SET_SPREAD"), blocks):
+        monkeypatch.setattr(minhash, name, value)
     texts = near_copies(random.Random(4))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(docs, 3, 85, 100).collect()}
