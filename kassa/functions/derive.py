@@ -71,14 +71,14 @@ def archive_date(invoice_datetime_text: ColumnOrName) -> Column:
 
 
 def archive_key(region: ColumnOrName, store: ColumnOrName, date: ColumnOrName,
-                invoice: ColumnOrName, prefix: str = "raw") -> Column:
+                invoice: ColumnOrName, prefix: str = "raw", file_prefix: str = "retail-dataset") -> Column:
     """Object key of one archived raw record:
-    ``raw/Region=<r>/StoreNo=<s>/invoiceprocess_date=<d>/retail-dataset-<r>-<s>-<i>.json``."""
+    ``<prefix>/Region=<r>/StoreNo=<s>/invoiceprocess_date=<d>/<file prefix>-<r>-<s>-<i>.json``."""
     r = archive_region(region)
     s = _col(store).cast("string")
     d = _col(date)
     i = _col(invoice).cast("string")
     return F.concat(
         F.lit(f"{prefix}/Region="), r, F.lit("/StoreNo="), s,
-        F.lit("/invoiceprocess_date="), d, F.lit("/retail-dataset-"),
+        F.lit("/invoiceprocess_date="), d, F.lit(f"/{file_prefix}-"),
         r, F.lit("-"), s, F.lit("-"), i, F.lit(".json"))

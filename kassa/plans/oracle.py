@@ -111,6 +111,7 @@ def clean_cte(money: str = "float", name: str = "clean") -> str:
   FROM {name}_ts)"""
 
 
+# The clean layer's column names, in order, and which are texts.
 CLEAN_COLS = ["invoiceno", "invoicets", "invoicedate", "invoice_year", "invoice_month",
               "storeno", "storepos", "storecountry", "lineitem_stockcode",
               "lineitem_description", "lineitem_quantity", "lineitem_unitprice",
@@ -401,6 +402,7 @@ def sql_preview_limit():
                        "invoice_month DESC NULLS LAST LIMIT 10")
 
 
+# The merge key of the batch job.
 MERGE_KEYS = ["invoiceno", "storeno", "lineitem_stockcode", "invoicedate", "region"]
 
 
