@@ -30,7 +30,7 @@ def prose(rng, n):
     return " ".join(rng.choices(WORDS, k=n))
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = random.Random(seed)
     pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(i, i + 1) for i in range(1000, 1060)] + \
@@ -59,7 +59,7 @@ def near_copies(rng):
     return texts + [None, "", "one", "ONE", "two words"]
 
 
-@pytest.mark.parametrize("blocks", [(4096, 256, 1_000_000, 50_000), (3, 2, 200, 100), (4096, 4, 1_000_000, 300)])
+@pytest.mark.parametrize("blocks", [(4096, 256, 1_000_000, 50_000), (3, 2, 200, 100)])
 def test_near_duplicates(spark, monkeypatch, blocks):
     """The same result whether hot buckets and components are cut into blocks or not."""
     for name, value in zip(("BUCKET_BLOCK", "BUCKET_SPREAD", "SET_BLOCK", "SET_SPREAD"), blocks):

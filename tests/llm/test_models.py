@@ -104,9 +104,11 @@ def test_toxicity_on_held_out_texts_and_misspellings():
     model = toxicity.train(texts[:600], y[:600])
     score = np.array([model(t) for t in texts[600:]])
     assert ((score >= toxicity.TOXIC_FROM) == y[600:]).mean() > 0.98
-    clean = texts[601]
-    for word in ("grobnikk", "plontred", "vexillous", "snarvishh"):  # never seen
-        assert model(clean + " " + word) > 10 * model(clean + " potatoes")
+    seen = set(" ".join(texts[:600]).split())
+    other = ["".join(rng.choices("abcdefghilmnoprstu", k=8)) for _ in range(500)]
+    usual = np.quantile([model.windows(w)[0] for w in other], 0.99)
+    edits = {w[:i] + x + w[j:] for w in INSULTS for i in range(1, len(w) - 1) for j, x in ((i + 1, ""), (i, w[i]), (i + 1, "e"))} - seen - set(INSULTS)
+    assert np.mean([model.windows(w)[0] > usual for w in edits]) > 0.75  # spellings it has never met
 
 
 def test_long_texts_are_scored_whole(monkeypatch):

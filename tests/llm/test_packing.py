@@ -1,6 +1,7 @@
 import bisect
 import random
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -52,13 +53,16 @@ def test_tree_finds_the_tightest():
         assert tree.tightest(least) == min((x for x in held if x >= least), default=None)
 
 
-@settings(max_examples=150, deadline=None)
+@cache
+def encoders():
+    return bpe_encoder()(), packing.json_encoder(vocabularies.path("byte_bpe_50k.json"))()
+
+
+@settings(max_examples=300, deadline=None)
 @given(st.text(max_size=80) | st.text(alphabet=" \n\t\xa0'aAé1漢\u2028\u3000sdll", max_size=60))
 def test_fast_encoder_equals_the_tokenizers_library(text):
-    exact = packing.json_encoder(vocabularies.path("byte_bpe_50k.json"))()
-    global FAST
-    FAST = globals().get("FAST") or bpe_encoder()()
-    assert FAST(text) == exact(text)
+    fast, exact = encoders()
+    assert fast(text) == exact(text)
 
 
 def test_special_tokens_are_read_as_the_library_reads_them():
