@@ -15,7 +15,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from kassa.session import get_session
     scratch = tempfile.mkdtemp(prefix="kassa-tests-")
-    s = get_session("local[4]", app="kassa-tests", shuffle_partitions=8,
+    s = get_session("local[4]", app="kassa-tests", shuffle_partitions=4,
                     extra={"spark.driver.memory": "6g",
                            "spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
     s.sparkContext.setLogLevel("ERROR")
