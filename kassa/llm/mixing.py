@@ -24,7 +24,7 @@ from .common import keep, text_of
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
-BLOCK_WORDS = 64
+BLOCK_WORDS = 32
 SHARD_WORDS, SHARD_DOCS = 2_000_000, 20_000
 
 
