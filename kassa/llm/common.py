@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kassa.session import discard, scratch_path
@@ -9,6 +11,7 @@ from kassa.session import discard, scratch_path
 #: Arrow batches are kept small: one batch of very long texts has to fit a
 #: Python worker beside its model or tokenizer.
 BATCH_ROWS = 256
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +41,18 @@ def drop_kept(df: DataFrame) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows, for jobs that run inside the block."""
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
 
 
 def ascii_lower(col):

@@ -29,10 +29,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import keep
+from .common import batches_of, drop_kept, keep
 
 BUCKET_ROWS = 4096
 QUERY_ROWS = 512
+ROWS_AT_A_TIME, BLOCKS_AT_A_TIME = 1024, 4  # in an Arrow batch: vectors, pairs of blocks
 COORDINATE_FROM = 0.5  # local cosine threshold from which coordinates prune
 FOCUS = 4              # coordinates that are tested
 SLACK = 1e-9           # keeps rounding from pruning a tie
@@ -147,10 +148,12 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 25
     """query_id, rank, vec_id, score: for every row where ``is_query`` holds
     its ``k`` best other rows by the inner product of floor(scale * x)."""
     spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # a row is a block
     rows = keep(quantized(vectors, id_col, vector_col, scale), "vectors")
-    buckets = keep(blocks(rows, bucket_rows), "buckets")
-    asked = keep(blocks(quantized(vectors.where(is_query), id_col, vector_col, scale), query_rows), "queries").select(
+    with batches_of(spark, ROWS_AT_A_TIME):
+        buckets = keep(blocks(rows, bucket_rows), "buckets")
+        asked = keep(blocks(quantized(vectors.where(is_query), id_col, vector_col, scale), query_rows), "queries")
+    drop_kept(rows)
+    asked = asked.select(
         "dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
 
     longest = buckets.groupBy("dim").agg(F.max_by("block", "longest").alias("block")).select("dim", "block")
@@ -158,9 +161,9 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 25
     first = search(asked.join(buckets.join(longest, ["dim", "block"]), "dim").select(
         "dim", "q_ids", "q_vectors", none, "ids", "vectors"), k)
     ranked = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    bounds = keep(first.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") == k)
-                  .select("query_id", F.col("score").cast("double").alias("bound")), "bounds")
-
+    with batches_of(spark, BLOCKS_AT_A_TIME):
+        bounds = keep(first.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") == k)
+                      .select("query_id", F.col("score").cast("double").alias("bound")), "bounds")
     members = asked.select("q_block", F.explode("q_ids").alias("query_id")).distinct()
     bounds = members.join(bounds, "query_id").groupBy("q_block").agg(
         F.collect_list(F.struct("query_id", "bound")).alias("bounds"))  # at most query_rows of them
@@ -168,6 +171,8 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 25
     deal = (asked.select("dim", "q_block").join(buckets.select("dim", "block"), "dim")
             .repartition("q_block", "block"))
     pairs = deal.join(asked.join(bounds, "q_block", "left"), ["dim", "q_block"]).join(buckets, ["dim", "block"])
-    found = search(pairs.select("dim", "q_ids", "q_vectors", "bounds", "ids", "vectors"), k)
+    with batches_of(spark, BLOCKS_AT_A_TIME):
+        found = keep(search(pairs.select("dim", "q_ids", "q_vectors", "bounds", "ids", "vectors"), k), "found")
+    drop_kept(buckets)
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
