@@ -7,15 +7,16 @@ the gram of least hash is selected (the last one of equals). Any run of
 RUN_WORDS words or more that two places share therefore has a selected gram in
 common: the fingerprints are guaranteed.
 
-Each occurrence of a fingerprint is joined with one earlier place: the
-occurrence before it in its own document or else the first of the corpus
-(documents in the order of doc_id). The match is extended line by line both
-ways, up to the next fingerprints, which go on with matches of their own.
-Consecutive lines that are matched so form a repeated run, and a run of
-RUN_WORDS words or more is deleted. First occurrences stay.
+Documents with a fingerprint that stands at several places are compared by the
+hashes of whole runs: for every line, the fewest lines from it on and the
+fewest lines up to it that hold RUN_WORDS words. Any run of RUN_WORDS words or
+more is the union of such shortest runs inside it, so a line is deleted if and
+only if it is part of a run of RUN_WORDS words or more that stands at an earlier
+place too (documents in the order of doc_id), whatever surrounds it there. The
+first place of a run stays; deleted runs that touch are one span.
 
 Only line hashes and places are shuffled until the texts are cut; every window
-spans one document or one fingerprint's occurrences in a document.
+spans one document.
 
 Defined results: a null text stays null and an empty one empty; a text of
 fewer words than RUN_WORDS stays as it is; lines are equal when identical;
@@ -52,8 +53,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def lines(docs: DataFrame, run_words: int, gram_words: int) -> DataFrame:
     """A row per line that has words: document, pos (its line number), idx
-    (its number among such lines), n (words), line (hash), and ``pick``: the
-    (gram hash, -idx) selected in the stretch that starts at this line."""
+    (its number among such lines), start (words before it), n (words), line
+    (hash), and ``pick``: the (gram hash, -idx) selected in the stretch that
+    starts at this line."""
     found = (keyed(docs.select("doc_id", "text")).select(*DOC, F.posexplode(F.split(text_of(), "\n")).alias("pos", "_l"))
              .select(*DOC, "pos", line_hash(F.col("_l").cast("binary")).alias("line"), F.regexp_count("_l", F.lit(WORD)).alias("n"))
              .where("n > 0").repartition(*DOC).dropDuplicates([*DOC, "pos"]))
@@ -67,47 +69,54 @@ def lines(docs: DataFrame, run_words: int, gram_words: int) -> DataFrame:
     pick = F.min(F.when(F.col("gram").isNotNull(), F.struct("gram", (-F.col("idx")).alias("back")))).over(
         by_word.rangeBetween(0, run_words - gram_words))
     return grams.withColumn("pick", F.when(F.col("start") + run_words <= F.col("total"), pick)).select(
-        *DOC, "pos", "idx", "n", "line", "pick")
+        *DOC, "pos", "idx", "start", "n", "line", "pick")
 
 
-def anchors(found: DataFrame) -> DataFrame:
-    """Fingerprints with an earlier place: document, idx, and the place
-    (s_d, s_h, s_idx) each is matched with."""
+def repeated_prints(found: DataFrame) -> DataFrame:
+    """Documents that hold a fingerprint which stands at several places."""
     picked = found.where("pick is not null").select(
-        *DOC, F.col("pick.gram").alias("gram"), (-F.col("pick.back")).alias("idx")).distinct()
-    first = picked.groupBy("gram").agg(F.min(F.struct(*DOC, "idx")).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
-    before = F.lag("idx").over(W.partitionBy(*DOC, "gram").orderBy("idx"))
-    elsewhere = ~((F.col("first._d") == F.col("_d")) & (F.col("first._h") == F.col("_h")))
-    source = F.when(F.col("before").isNotNull(), F.struct(*DOC, F.col("before").alias("idx"))).when(elsewhere, F.col("first"))
-    return (picked.join(first, "gram").withColumn("before", before).withColumn("s", source).where("s is not null")
-            .groupBy(*DOC, "idx").agg(F.min("s").alias("s"))
-            .select(*DOC, "idx", F.col("s._d").alias("s_d"), F.col("s._h").alias("s_h"), F.col("s.idx").alias("s_idx")))
-
-
-def repeated_runs(found: DataFrame, run_words: int) -> DataFrame:
+        *DOC, F.col("pick.gram").alias("gram"), F.col("pick.back").alias("back")).distinct()
+    several = picked.groupBy("gram").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("gram")
+    return picked.join(several, "gram").select(*DOC).distinct()
+
+
+def whole_runs(found: DataFrame, run_words: int) -> DataFrame:
+    """A row per shortest run: document, first and last idx, first and last
+    line number, words before it and up to its end, and ``key``: its
+    fingerprint and the hash of all its lines. Every line starts one (the
+    fewest lines from it on that hold run_words words) and ends one (the fewest
+    up to it), named once where the two are the same."""
+    near = found.join(repeated_prints(found), DOC).withColumn("end", F.col("start") + F.col("n"))
+    on = W.partitionBy(*DOC).orderBy("start").rangeBetween(0, run_words - 1)
+    back = W.partitionBy(*DOC).orderBy("end").rangeBetween(1 - run_words, 0)
+    at = F.struct("idx", "pos", "start", "end", F.col("pick.gram").alias("gram"))
+    hashed = lambda w: line_hash(F.concat_ws(",", F.collect_list(F.col("line").cast("string")).over(w)).cast("binary"))
+    both = near.select(*DOC, at.alias("at"), F.last(at).over(on).alias("to"), hashed(on).alias("ahead"), F.first(at).over(back).alias("since"),
+                       F.lag("end").over(W.partitionBy(*DOC).orderBy("end")).alias("before"), hashed(back).alias("behind"))
+    run = lambda a, b, h: F.struct(a["idx"].alias("lo"), b["idx"].alias("hi"), a["pos"].alias("first"), b["pos"].alias("last"),
+                                   a["start"].alias("start"), b["end"].alias("end"), F.struct(a["gram"].alias("gram"), h.alias("run")).alias("key"))
+    at, to, since = F.col("at"), F.col("to"), F.col("since")
+    starts = to["end"] - at["start"] >= run_words
+    ends = (at["end"] - since["start"] >= run_words) & (F.col("before") - since["start"] >= run_words)
+    runs = F.array(F.when(starts, run(at, to, F.col("ahead"))), F.when(ends, run(since, at, F.col("behind"))))
+    return both.select(*DOC, F.explode(F.filter(runs, lambda r: r.isNotNull())).alias("r")).select(*DOC, "r.*")
+
+
+def repeated_runs(runs: DataFrame) -> DataFrame:
     """document, ``spans``: (first, last line number, words) of its repeated
     runs, in order."""
-    starts = keep(anchors(found), "anchors")
-    doc = W.partitionBy(*DOC).orderBy("idx")
-    here = F.when(F.col("s_idx").isNotNull(), F.struct("idx", "s_d", "s_h", "s_idx"))
-    near = (found.select(*DOC, "pos", "idx", "n", "line").join(starts.select(*DOC).distinct(), DOC)
-            .join(starts, [*DOC, "idx"], "left").withColumn("here", here)
-            .withColumn("left", F.last("here", True).over(doc.rowsBetween(W.unboundedPreceding, 0)))
-            .withColumn("right", F.first("here", True).over(doc.rowsBetween(0, W.unboundedFollowing))))
-    tried = (near.select(*DOC, "pos", "idx", "n", "line", F.explode(F.array("left", "right")).alias("a")).where("a is not null")
-             .select(*DOC, "pos", "idx", "n", "line", F.col("a.idx").alias("from"), F.col("a.s_d").alias("s_d"), F.col("a.s_h").alias("s_h"),
-                     (F.col("a.s_idx") + F.col("idx") - F.col("a.idx")).alias("s_idx")).distinct())
-    source = found.select(F.col("_d").alias("s_d"), F.col("_h").alias("s_h"), F.col("idx").alias("s_idx"), F.col("line").alias("s_line"))
-    equal = tried.join(source, ["s_d", "s_h", "s_idx"], "left").withColumn(
-        "equal", F.coalesce(F.col("line") == F.col("s_line"), F.lit(False)))
-    side = W.partitionBy(*DOC, "from", F.col("idx") >= F.col("from")).orderBy(F.abs(F.col("idx") - F.col("from")))
-    covered = (equal.withColumn("on", F.min("equal").over(side.rowsBetween(W.unboundedPreceding, 0)))
-               .withColumn("on", F.col("on") & F.min(F.when(F.col("idx") == F.col("from"), F.col("equal"))).over(W.partitionBy(*DOC, "from")))
-               .where("on").groupBy(*DOC, "idx").agg(F.first("pos").alias("pos"), F.first("n").alias("n")))
-    runs = (covered.withColumn("run", F.col("idx") - F.row_number().over(doc))
-            .groupBy(*DOC, "run").agg(F.min("pos").alias("first"), F.max("pos").alias("last"), F.sum("n").alias("words"))
-            .where(F.col("words") >= run_words))
-    return runs.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("first", "last", "words"))).alias("spans"))
+    place = F.struct(*DOC, "lo")
+    # written, so that the join below has two plain inputs and AQE can split a hot key
+    origin = keep(runs.groupBy("key").agg(F.min(place).alias("origin"), F.count(F.lit(1)).alias("times")).where("times > 1")
+                  .select("key", "origin"), "origin")
+    later = runs.join(origin, "key").where(place != F.col("origin")).select(*DOC, "lo", "hi", "first", "last", "start", "end")
+    doc = W.partitionBy(*DOC).orderBy("lo", "hi")
+    reached = F.max("hi").over(doc.rowsBetween(W.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("lo") > reached + 1, F.lit(True)).cast("int")
+    united = (later.withColumn("apart", apart).withColumn("group", F.sum("apart").over(doc.rowsBetween(W.unboundedPreceding, 0)))
+              .groupBy(*DOC, "group").agg(F.min("first").alias("first"), F.max("last").alias("last"),
+                                          (F.max("end") - F.min("start")).alias("words")))
+    return united.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("first", "last", "words"))).alias("spans"))
 
 
 def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
@@ -117,8 +126,10 @@ def dedup_lines(docs: DataFrame, run_words: int = RUN_WORDS, gram_words: int = G
     if not 0 < gram_words <= run_words:
         raise ValueError("gram_words has to lie between 1 and run_words")
     found = keep(lines(docs, run_words, gram_words), "lines")
-    spans = keep(repeated_runs(found, run_words), "spans")
+    runs = keep(whole_runs(found, run_words), "runs")
     drop_kept(found)
+    spans = keep(repeated_runs(runs), "spans")
+    drop_kept(runs)
     row, none = whole_row(docs), F.array().cast(spans.schema["spans"].dataType)
     inside = lambda i: F.exists("spans", lambda s: (s["first"] <= i) & (i <= s["last"]))
     text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(

@@ -162,3 +162,44 @@ def test_line_dedup_is_complete_for_whole_passages(spark):
         assert cut <= gone, d
         missed, total = missed + len(gone - cut), total + len(gone)
     assert total > 200 and missed <= 0.02 * total
+
+
+def repeated_lines(docs, run_words=50):
+    """By definition: the lines of each document that are part of a run of
+    ``run_words`` words or more which stands at an earlier place too."""
+    seen, out = set(), []
+    for lines in docs:
+        n, gone = [len(x.split()) for x in lines], set()
+        for i in range(len(lines)):
+            for j in range(i, len(lines)):
+                if sum(n[i:j + 1]) >= run_words:
+                    run = tuple(lines[i:j + 1])
+                    if run in seen:
+                        gone |= set(range(i, j + 1))
+                    seen.add(run)
+        out.append(gone)
+    return out
+
+
+def deleted_lines(spark, docs):
+    table = spark.createDataFrame([(i, "\n".join(x)) for i, x in enumerate(docs)], "doc_id long, text string").repartition(3)
+    return [{i for s in r.removed_spans for i in range(s.first, s.last + 1)}
+            for r in line_dedup.dedup_lines(table).orderBy("doc_id").collect()]
+
+
+def test_line_dedup_core_in_another_context(spark):
+    """The first place of the shared core stands in a context of its own."""
+    rng = random.Random(10)
+    core, after, before = prose(rng, 45), prose(rng, 10), prose(rng, 8)
+    docs = [[prose(rng, 12), core, prose(rng, 20)]]
+    docs += [[core, after, prose(rng, 20)] for _ in range(30)]
+    docs += [[prose(rng, 20), before, core, prose(rng, 30)] for _ in range(30)]
+    want = repeated_lines(docs)
+    assert want[0] == want[1] == want[31] == set() and want[2] == {0, 1} and want[32] == {1, 2}
+    assert deleted_lines(spark, docs) == want
+    # stock lines of many lengths in any order
+    pool = [prose(rng, n) for n in (3, 7, 11, 16, 22, 28, 34, 41, 45, 48)]
+    docs = [[rng.choice(pool) if rng.random() < 0.9 else prose(rng, 6) for _ in range(9)] for _ in range(120)]
+    want = repeated_lines(docs)
+    assert sum(map(len, want)) > 100
+    assert deleted_lines(spark, docs) == want
