@@ -203,3 +203,15 @@ def test_line_dedup_core_in_another_context(spark):
     want = repeated_lines(docs)
     assert sum(map(len, want)) > 100
     assert deleted_lines(spark, docs) == want
+
+
+def test_line_dedup_keeps_stock_lines_from_different_places(spark):
+    """Neighbouring passages of fewer than 50 words, each seen at another
+    place, aren't a repeated run; with one of 50 words only that one is."""
+    rng = random.Random(11)
+    x, y, long = prose(rng, 45), prose(rng, 45), prose(rng, 52)
+    own = lambda: prose(rng, 20)
+    docs = [[own(), x, own()], [own(), y, own()], [own(), long, own()], [own(), x, y, own()], [own(), x, long, y, own()], [x, y]]
+    want = repeated_lines(docs)
+    assert want == [set(), set(), set(), set(), {2}, {0, 1}]
+    assert deleted_lines(spark, docs) == want
