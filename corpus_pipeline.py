@@ -12,7 +12,9 @@ Learned scores, hashes and tokenization aren't expressible in SQL, hence no
 Nulls, empty tables and repeated rows: a null text is treated as empty by
 every stage; quality judges it like any text; line and near dedup leave it;
 mixing drops documents without words, as they hold no tokens of any source;
-an empty table passes through all stages as one.
+an empty table passes through all stages as one. Of rows that repeat doc_id
+and text one is left by near dedup, the same with rows without doc_id; where
+different texts share a doc_id, each is judged by its own text.
 """
 
 from __future__ import annotations
@@ -44,11 +46,16 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of every group of near
-    duplicates (five-word shingles, similarity of 0.8 or more)."""
-    gone = minhash.near_duplicates(docs, k=5, numerator=80, denominator=100).where(
-        ~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """One row, the one with the least id, of every group of near duplicates
+    (five-word shingles, similarity of 0.8 or more). Rows are numbered first,
+    so repeated ids and rows without one are judged row by row; rows without
+    doc_id come last in a group."""
+    rows = keep(docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", whole_row(docs).alias("row")), "numbered")
+    groups = minhash.near_duplicates(rows, k=5, numerator=80, denominator=100).select("doc_id", "component_id")
+    ids = rows.select("doc_id", F.col("row.doc_id").alias("id"))
+    order = F.struct(F.col("id").isNull(), "id", "doc_id")
+    least = groups.join(ids, "doc_id").groupBy("component_id").agg(F.min(order).alias("least")).select(F.col("least.doc_id").alias("doc_id"))
+    return rows.join(least.hint("shuffle_hash"), "doc_id", "left_semi").select("row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

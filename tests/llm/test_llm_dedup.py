@@ -215,3 +215,18 @@ def test_line_dedup_keeps_stock_lines_from_different_places(spark):
     want = repeated_lines(docs)
     assert want == [set(), set(), set(), set(), {2}, {0, 1}]
     assert deleted_lines(spark, docs) == want
+
+
+def test_pipeline_near_dedup_goes_by_row(spark):
+    """One row of every group is left: also of repeated rows and of rows
+    without doc_id; a text of its own stays, whatever its doc_id."""
+    import corpus_pipeline
+    rng = random.Random(12)
+    a, b, c, d, e = (prose(rng, 80) for _ in range(5))
+    rows = [(1, a), (2, b), (2, b), (3, a), (3, c), (None, a), (None, d), (None, d), (5, e), (4, e + " end"), (6, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("x")).repartition(3)
+    out = corpus_pipeline.remove_near_duplicates(spark, docs, "")
+    assert out.dtypes == docs.dtypes
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+    assert got == sorted([(1, a), (2, b), (3, c), (None, d), (4, e + " end"), (6, None), (None, None)], key=repr)
+    assert corpus_pipeline.remove_near_duplicates(spark, docs.limit(0), "").collect() == []
