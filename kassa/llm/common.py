@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kassa.session import discard, scratch_path
 
-#: Arrow batches are kept small: one batch of very long texts has to fit a
-#: Python worker beside its model or tokenizer.
-BATCH_ROWS = 256
+#: Arrow batches are kept small, by rows and by bytes: one batch of very long
+#: texts has to fit a Python worker beside its model or tokenizer.
+BATCH_ROWS, BATCH_BYTES = 256, "16m"
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +43,7 @@ def drop_kept(df: DataFrame) -> None:
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    spark.conf.set(ARROW_BYTES, BATCH_BYTES)
 
 
 @contextmanager
