@@ -6,10 +6,14 @@ opt-in filter to the newest row per key.
 Scale notes. A plain window sends every row of one key to one task. When a
 key holds a large share of the data (placeholder keys after the null fill are
 the usual suspects) that task is the whole job and AQE does not split skewed
-window partitions. ``mark_duplicates`` therefore finds hot keys from a sample
-and numbers their rows by a range-partitioned sort: each range partition
-numbers its slice locally and a prefix sum over the (small) per-partition
-counts gives the global offset. The result equals the plain window exactly.
+window partitions. ``mark_duplicates`` therefore writes its input once, with a
+hash of the key, and a heavy-hitter sketch of that hash is observed on the way:
+the upstream is evaluated a single time. The rows of hot hashes are numbered by
+a range-partitioned sort: each range partition numbers its slice locally and a
+prefix sum over the (small) per-partition counts gives the global offset. The
+result equals the plain window exactly. Where the sketch is too coarse for the
+number of rows, the hashes in the written copy are counted instead (from a
+sample of that one column), so there is no limit on the number of hot keys.
 ``keep="latest"`` needs none of this: the ``row_number() = 1`` filter is
 planned as a partial per-group limit before the shuffle.
 """
@@ -18,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from kassa.plans.sizing import bounded_rows
 from kassa.schemas import DEDUP_KEYS
@@ -26,6 +30,11 @@ from kassa.session import checkpoint_dir, materialize
 
 _UNORDERABLE = ("map<", "variant")
 
+#: Size of the sketch of a task (some 64 kB at most), and the number of its
+#: items that the driver gets. A key with more than SKETCH_ERROR / SKETCH_ITEMS
+#: of all rows is among them.
+SKETCH_ITEMS, SKETCH_TOP, SKETCH_ERROR = 4096, 1024, 4
+
 
 def _ordering(df: DataFrame, keys: list[str], order: list[str], descending: bool,
               tiebreak: bool) -> list[Column]:
@@ -60,9 +69,12 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
                only the first row of each key.
     tiebreak:  complete the ordering with every other column so equal source
                times give the same numbers on every run.
-    skew:      "auto" samples for keys with more than ``hot_key_rows`` rows and
-               numbers those with a range-partitioned sort; "off" always uses
-               the plain window.
+    skew:      "auto" writes the input once, observes keys with more than
+               ``hot_key_rows`` rows on the way and numbers those with a
+               range-partitioned sort; "sample" looks for them in a sample of
+               the input (which evaluates it once more; implied by
+               ``sample_fraction``) and writes it only if there are some; "off"
+               always uses the plain window.
     hot_keys:  keys known to be hot (tuples in ``keys`` order, or a frame of
                key columns), e.g. the fill placeholders; skips the sampling
                pass. The rest of the keys take the plain window.
@@ -80,6 +92,14 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
     if skew == "off":
         return df.withColumn(column, F.row_number().over(w))
 
+    if hot_keys is None and sample_fraction is None and skew == "auto":
+        base, hot, est_rows = _observed(df, keys, hot_key_rows)
+        if hot is None:
+            return base.drop("_uid", "_k").withColumn(column, F.row_number().over(w))
+        n_parts = max(2, math.ceil(est_rows / rows_per_task))
+        heavy = base.join(hot, "_k", "left_semi").select(*df.columns, "_uid")
+        light = base.join(hot, "_k", "left_anti").select(*df.columns).withColumn(column, F.row_number().over(w))
+        return light.unionByName(_number_by_range(heavy, keys, [*ordering, F.col("_uid")], column, n_parts).drop("_uid"))
     if hot_keys is not None:
         hot, est_rows = _given_hot_keys(df, keys, hot_keys, rows_per_task)
     else:
@@ -96,6 +116,24 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
             .unionByName(_number_by_range(heavy, keys, [*ordering, F.col("_uid")], column, n_parts).drop("_uid")))
 
 
+def _observed(df: DataFrame, keys: list[str], hot_key_rows: int) -> tuple[DataFrame, DataFrame | None, float]:
+    """The input as written (with ``_uid``, which tells identical rows apart, and
+    ``_k``, a hash of the key), the hashes of more than ``hot_key_rows`` rows
+    (None if there are none) and the estimated number of their rows."""
+    seen = Observation()
+    top = F.expr(f"approx_top_k(_k, {SKETCH_TOP}, {SKETCH_ITEMS})")
+    base = materialize(df.withColumns({"_uid": F.monotonically_increasing_id(), "_k": F.xxhash64(*keys)})
+                       .observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top")), "marked")
+    n, found = seen.get["n"], seen.get["top"] or []
+    if n * SKETCH_ERROR / SKETCH_ITEMS > hot_key_rows:
+        hot, est = _hot_keys(base, ["_k"], hot_key_rows, None)
+        return base, None if hot.isEmpty() else hot, est
+    hot = [(r["item"], r["count"]) for r in found if r["count"] >= hot_key_rows]
+    if not hot:
+        return base, None, 0.0
+    return base, df.sparkSession.createDataFrame([(k,) for k, _ in hot], "_k long"), float(sum(n for _, n in hot))
+
+
 def _hot_keys(df: DataFrame, keys: list[str], hot_key_rows: int,
               sample_fraction: float | None) -> tuple[DataFrame, float]:
     """Keys estimated to hold more than ``hot_key_rows`` rows, from a sample

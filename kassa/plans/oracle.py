@@ -451,6 +451,40 @@ def sql_merge_moving_partition():
                            "ELSE region END AS region, invoice_year FROM lines")
 
 
+def sql_merge_bucketed():
+    return sql_upsert_on_disk()
+
+
+def sql_dedup_mark_observed():
+    return _with(STAGED, prepared_cte("float"), dedup_cte(["region", "storepos"], PREPARED_COLS)) + \
+        f"SELECT {text_of(PREPARED_COLS + ['rownumber'])} FROM marked"
+
+
+def sql_flatten_variant():
+    """Row by row as each shape of document flattens; nothing is parsed."""
+    key = "SELECT l_orderkey, l_linenumber, CAST({bad} AS VARCHAR) AS _corrupt_record, '{items}' AS items, {path} AS path, CAST({value} AS VARCHAR) AS value, {type} AS type FROM lineitem WHERE l_linenumber = {pos}"
+    out = []
+
+    def rows(pos, items, *fields):
+        for path, value, type_ in fields:
+            out.append(key.format(bad="NULL", items=items, path=f"'{path}'", value=value, type=f"'{type_}'", pos=pos))
+    number = ("Txn_No", "l_orderkey", "STRING")
+    for i, tag in enumerate("ab"):
+        rows(1, i, number, ("Txn_Loyalty_Tier", "3", "BIGINT"), ("Txn_Loyalty_Tags", f"'{tag}'", "STRING"))
+    rows(2, "0,0", number, ("Txn_Item_Code", "l_partkey", "BIGINT"))
+    rows(2, "0,1", number, ("Txn_Item_Code", "'x'", "STRING"))
+    rows(2, "1,-1", number, ("Txn_Item", "NULL", "VOID"))
+    rows(3, "", ("Txn_No", "l_orderkey", "BIGINT"), ("Txn_Item", "'none'", "STRING"), ("Txn_Open", "'true'", "BOOLEAN"))
+    for i, a in enumerate((("A", "1", "BIGINT"), ("A", "'two'", "STRING"))):
+        rows(4, f"{i},0", a, ("B", "NULL", "VOID"))
+        rows(4, f"{i},1", a, ("B_C", "l_partkey", "BIGINT"))
+    rows(5, "", ("", "NULL", "VOID"))
+    out.append(key.format(bad="""'{"Txn":{"No":"' || l_orderkey""", items="", path="NULL", value="NULL", type="NULL", pos=6))
+    rows(7, "0", ("", "l_orderkey", "BIGINT"))
+    rows(7, "1", ("k_deep_er", "'1.5'", "DECIMAL(2,1)"))
+    return " UNION ALL ".join(out)
+
+
 def sql_load_summary():
     return monthly_sql("SELECT * FROM monthly").replace("FROM enriched GROUP BY", "FROM enriched WHERE invoicets >= TIMESTAMP '1998-01-01' GROUP BY")
 
@@ -491,8 +525,8 @@ def sql_null_fill_dirty():
 
 def sql_monthly_sales_nan():
     return _with(dirty_cte(), clean_cte("float"), filled_cte("float")) + (
-        "SELECT region, storepos, count(DISTINCT invoiceno) AS num_invoices, sum(lineitem_quantity) AS total_quantity, "
-        "CAST(sum(CASE WHEN lineitem_saleprice IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_price FROM filled GROUP BY ALL")
+        "SELECT region, storepos, count(DISTINCT invoiceno) AS num_invoices, count(DISTINCT lineitem_stockcode) AS stock_count, "
+        "sum(lineitem_quantity) AS total_quantity, round(sum(lineitem_saleprice::DOUBLE), 1) AS total_sales FROM filled GROUP BY ALL")
 
 
 def sql_merge_null_key():
@@ -610,12 +644,24 @@ def sql_archive_from_publish():
     return sql_raw_archive_latest()
 
 
+def sql_archive_compacted():
+    return sql_raw_archive_latest()
+
+
+def sql_ingest_quarantined():
+    pos = f"CAST({P}StorePos AS INTEGER)"
+    return _with(STAGED) + (
+        f"SELECT 'bad' AS recordId, 'record' AS reason, CAST(NULL AS VARCHAR) AS item FROM staged WHERE {pos} = 7 "
+        f"UNION ALL SELECT 'shape 2', 'line item', '7' FROM staged WHERE {pos} = 2 "
+        f"UNION ALL SELECT 'shape ' || {pos}, 'record', NULL FROM staged WHERE {pos} BETWEEN 3 AND 6")
+
+
 def sql_ingest_staged():
     pos = f"CAST({P}StorePos AS INTEGER)"
     unit = {P + "LineItem_Quantity": "'1'", P + "LineItem_SalePrice": P + "LineItem_UnitPrice"}
     single = ", ".join(f"{unit[c]} AS {c}" if c in unit else c for c in STAGING_COLUMNS)
     every = ", ".join(STAGING_COLUMNS)
-    return _with(STAGED) + (f"SELECT {every} FROM staged WHERE {pos} <= 6 UNION ALL SELECT {every} FROM staged WHERE {pos} = 1 "
+    return _with(STAGED) + (f"SELECT {every} FROM staged WHERE {pos} <= 6 UNION ALL SELECT {every} FROM staged WHERE {pos} <= 2 "
                             f"UNION ALL SELECT {single} FROM staged WHERE {pos} = 6")
 
 

@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from kassa.functions import casts, derive
-from kassa.operators import aggregate, clean, dedup, enrich, merge, nested, trends
+from kassa.operators import aggregate, clean, dedup, enrich, merge, nested, trends, variant
 from kassa.plans import batch
 from kassa.schemas import DEDUP_KEYS_DAILY, MERGE_KEYS, STAGING_SCHEMA, transaction_schema
 from kassa.session import materialize, scratch_path
-from kassa.sinks import snapshots, stream_files, tables
+from kassa.sinks import bucketed, stream_files, tables
 from kassa.sources import files, testmap
 from kassa.streaming import ingest
 
@@ -170,6 +170,12 @@ def q_dedup_mark_hot(spark, d):
                                             rows_per_task=2000))
 
 
+def q_dedup_mark_observed(spark, d):
+    """Marks per store, several of which are hot: found by the sketch that is
+    observed while the input is written."""
+    return comparable(dedup.mark_duplicates(prepared(spark, d), ["region", "storepos"], hot_key_rows=200, rows_per_task=2000))
+
+
 # -- dirty input --------------------------------------------------------------
 
 def dirty(spark, d):
@@ -203,11 +209,11 @@ def q_null_fill_dirty(spark, d):
 
 
 def q_monthly_sales_nan(spark, d):
-    """Counts and sums per region over filled rows: a NaN fill makes a sum NaN."""
+    """The summary per region and position over filled rows: a NaN fill makes a
+    group's sum NaN. Sums of 32-bit prices are rounded, their order varies."""
     rows = clean.fill_nulls(clean.type_conversion(dirty(spark, d)))
-    return rows.groupBy("region", "storepos").agg(
-        F.countDistinct("invoiceno").alias("num_invoices"), F.sum("lineitem_quantity").alias("total_quantity"),
-        F.sum(F.col("lineitem_saleprice").isNull().cast("long")).alias("no_price"))
+    sales = aggregate.monthly_store_sales(rows.withColumn("lineitem_finalsaleprice", F.col("lineitem_saleprice")), ["region", "storepos"])
+    return sales.withColumn("total_sales", F.round("total_sales", 1))
 
 
 def q_merge_null_key(spark, d):
@@ -346,10 +352,22 @@ def q_upsert_on_disk(spark, d):
 def q_merge_moving_partition(spark, d):
     path, lines, keys = scratch_path(spark, "moving-query"), _lines(spark, d), ["l_orderkey", "l_linenumber"]
     moved = lines.filter("l_linenumber <= 2").withColumn("region", F.concat(F.lit("moved "), F.col("l_linenumber").cast("string")))
-    cols = ["region", "invoice_year"]
-    snapshots.merge_snapshot(spark, lines.filter("l_linenumber <> 2"), path, keys, cols)
-    snapshots.merge_snapshot(spark, moved, path, keys, cols)
-    return _year_as_text(snapshots.read_snapshot(spark, path, lines.schema))
+    for rows in (lines.filter("l_linenumber <> 2"), moved):
+        tables.upsert_partitioned(spark, rows, path, keys, ["region", "invoice_year"], key_buckets=16)
+    return _year_as_text(tables.read_table(spark, path, lines.schema))
+
+
+def q_merge_bucketed(spark, d):
+    """The upsert of ``upsert_on_disk`` into a catalog table bucketed by key."""
+    lines, keys = _lines(spark, d), ["l_orderkey", "l_linenumber"]
+    cols = ["l_linenumber"]
+    path = scratch_path(spark, "bucketed-query")
+    name = "merge_" + path[-12:]
+    bucketed.create_bucketed(lines.filter("l_linenumber <= 4"), name, 16, keys, cols, path)
+    updates = lines.filter("l_linenumber >= 3").withColumn("quantity", F.col("quantity") + 100)
+    for rows in (updates, updates):
+        bucketed.merge_bucketed(spark, rows, name, keys, cols)
+    return _year_as_text(tables.blank_as_null(spark.table(name), ["region"]))
 
 
 def q_load_summary(spark, d):
@@ -394,9 +412,34 @@ def q_parse_json(spark, d):
 
 
 def q_parse_json_props(spark, d):
-    ev = testmap.table(spark, d, "events")
-    parsed = ev.select("event_id", F.from_json("props", "k int").alias("p"))
-    return parsed.select("event_id", F.col("p.k").alias("k"))
+    parsed = nested.parse_json(testmap.table(spark, d, "events").select("event_id", "props"),
+                               T.StructType([T.StructField("k", T.IntegerType())]), column="props")
+    return nested.flatten(parsed.select("event_id", "doc")).select("event_id", F.col("doc_k").alias("k"))
+
+
+def _documents_of_any_shape(spark, d):
+    """JSON texts that no schema was declared for: unknown and nested fields
+    (position 1), arrays in arrays (2), a text where others have an array (3),
+    two arrays (4), an empty object (5), a broken text (6), an array as the
+    whole document (7)."""
+    li = testmap.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    order, part = F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")
+    shapes = [F.concat(F.lit('{"Txn":{"No":"'), order, F.lit('","Loyalty":{"Tier":3,"Tags":["a","b"]}}}')),
+              F.concat(F.lit('{"Txn":{"No":"'), order, F.lit('","Item":[[{"Code":'), part, F.lit('},{"Code":"x"}],[]]}}')),
+              F.concat(F.lit('{"Txn":{"No":'), order, F.lit(',"Item":"none","Open":true}}')),
+              F.concat(F.lit('{"A":[1,"two"],"B":[null,{"C":'), part, F.lit('}]}')),
+              F.lit("{}"),
+              F.concat(F.lit('{"Txn":{"No":"'), order),
+              F.concat(F.lit("["), order, F.lit(',{"k":{"deep":{"er":1.5}}}]'))]
+    text = F.lit(None).cast("string")
+    for i, shape in enumerate(shapes):
+        text = F.when(F.col("l_linenumber") == i + 1, shape).otherwise(text)
+    return li.select("l_orderkey", "l_linenumber", text.alias("text"))
+
+
+def q_flatten_variant(spark, d):
+    rows = variant.long_fields(variant.flatten_variant(_documents_of_any_shape(spark, d), "text"))
+    return rows.withColumn("items", F.array_join("items", ","))
 
 
 def q_flatten_to_json(spark, d):
@@ -432,15 +475,29 @@ def q_raw_archive_latest(spark, d):
 
 # -- streaming ------------------------------------------------------------------
 
+def q_archive_compacted(spark, d):
+    """The archive's current rows by compaction after each of three batches
+    and a replay of the second, in two runs."""
+    base = scratch_path(spark, "compacted")
+    valid, _ = nested.split_valid(_parsed(spark, d))
+    rows = materialize(stream_files.archive_rows(valid).withColumn("part", F.pmod(F.xxhash64("payload"), F.lit(3))), "archive-rows")
+    for part, run, batch in ((0, "a", 0), (1, "a", 1), (1, "a", 1), (2, "b", 0)):
+        stream_files.write_archive_batch(rows.where(F.col("part") == part).drop("part"), f"{base}/archive", batch, run)
+        stream_files.compact_archive(spark, f"{base}/archive", f"{base}/state", key_buckets=16)
+    return stream_files.read_archive_compacted(spark, f"{base}/state").select("archive_key", "arrival", "payload")
+
+
 def _ingested(spark, records_path):
     base = scratch_path(spark, "ingest")
     ingest.start_ingest(spark, records_path, f"{base}/archive", f"{base}/stage", f"{base}/quarantine", f"{base}/ckpt").awaitTermination()
     return base
 
 
-def q_ingest_staged(spark, d):
-    """The stream's staging output for good records, repeated ones (position
-    1), line items as arrays (6) and malformed or incomplete ones (7)."""
+def _records(spark, d):
+    """Stream records on disk: good ones (positions 1 to 5), repeated ones (1),
+    line items as arrays (6), malformed or incomplete ones (7); and line items
+    of other shapes: a good one beside a number (2), numbers (3), a text in
+    brackets (4), texts and a null (5), a text in braces (6)."""
     st, path = staged(spark, d), scratch_path(spark, "records")
     pos = F.col("RetailTxnData_StorePos").cast("int")
     good = testmap.envelopes(st.filter(pos <= 5))
@@ -450,9 +507,30 @@ def q_ingest_staged(spark, d):
     spoilt = F.when(F.col("RetailTxnData_InvoiceNo").cast("long") % 2 == 0, '{"foo":1}').otherwise('{"RetailTxnData":{"InvoiceNo":"1"')
     bad = st.filter(pos == 7).select(F.lit("bad").alias("recordId"), F.lit(None).cast("string").alias("arrival"),
                                      nested.base64_text(spoilt).alias("data"))
-    for part in (good, testmap.envelopes(st.filter(pos == 1)), arrays, bad):
+    docs = testmap.nested_documents(st.withColumn("RetailTxnData_X", pos))
+    txn = F.col("RetailTxnData")
+    item = F.concat(F.lit("["), F.to_json(txn["LineItem"]), F.lit(",7]"))
+    shape = (F.when(txn["X"] == 2, item).when(txn["X"] == 3, "[1,2]").when(txn["X"] == 4, '"[abc"')
+             .when(txn["X"] == 5, '["a",null]').when(txn["X"] == 6, '"{oops"'))
+    text = F.concat(F.lit('{"RetailTxnData":{"LineItem":'), shape, F.lit(","), F.substring(F.to_json(txn.dropFields("LineItem", "X")), 2, 1 << 30), F.lit("}"))
+    odd = docs.where(txn["X"].between(2, 6)).select(
+        F.concat(F.lit("shape "), txn["X"].cast("string")).alias("recordId"), txn["SourceTimestamp"].alias("arrival"),
+        nested.base64_text(text).alias("data"))
+    for part in (good, testmap.envelopes(st.filter(pos == 1)), arrays, bad, odd):
         part.write.mode("append").json(path)
-    return files.read_parquet(spark, f"{_ingested(spark, path)}/stage", STAGING_SCHEMA).select(*STAGING_SCHEMA.names)
+    return path
+
+
+def q_ingest_staged(spark, d):
+    """The stream's staging output for records of all shapes."""
+    return files.read_parquet(spark, f"{_ingested(spark, _records(spark, d))}/stage", STAGING_SCHEMA).select(*STAGING_SCHEMA.names)
+
+
+def q_ingest_quarantined(spark, d):
+    """What the stream sets apart: records, and single line items with their
+    text."""
+    bad = ingest.read_quarantine(spark, f"{_ingested(spark, _records(spark, d))}/quarantine")
+    return bad.select("recordId", "reason", F.when(F.col("reason") == "line item", F.col("_corrupt_record")).alias("item"))
 
 
 def q_archive_from_publish(spark, d):

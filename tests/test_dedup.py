@@ -95,3 +95,40 @@ def test_many_hot_keys_all_take_the_range_path(spark):
     plain = mark_duplicates(df, KEYS, "ts", skew="off")
     split = mark_duplicates(df, KEYS, "ts", hot_key_rows=1, sample_fraction=1.0, rows_per_task=5000)
     assert plain.exceptAll(split).count() == 0 and split.count() == 30000
+
+
+def test_hot_keys_are_observed_in_one_evaluation(spark):
+    """The input is evaluated once, with and without hot keys, and the marks
+    are those of the plain window."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    df = spark.range(0, 20000, numPartitions=4).select(
+        F.when(F.col("id") % 20 < 9, F.lit("hot")).when(F.col("id") % 20 == 9, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k1"), (F.col("id") % 20 < 10).cast("long").alias("k2"),
+        (F.col("id") % 101).cast("string").alias("ts"), F.col("id").alias("v"), F.lit("x").alias("w"))
+    want = sorted(tuple(map(str, r)) for r in mark_duplicates(df, KEYS, "ts", skew="off").collect())
+    for hot_key_rows in (500, 50_000):
+        seen.value = 0
+        out = mark_duplicates(df.mapInPandas(counted, df.schema), KEYS, "ts", hot_key_rows=hot_key_rows, rows_per_task=2000)
+        assert ("Union" in out._jdf.queryExecution().executedPlan().toString()) == (hot_key_rows == 500)
+        assert sorted(tuple(map(str, r)) for r in out.collect()) == want
+        assert seen.value == 20000
+
+
+def test_coarse_sketch_counts_the_written_keys(spark, monkeypatch):
+    from kassa.operators import dedup
+    monkeypatch.setattr(dedup, "SKETCH_ERROR", 4096 * 4096)
+    df = spark.range(6000).select((F.col("id") % 7).cast("string").alias("k1"), F.lit(1).cast("long").alias("k2"),
+                                  F.col("id").cast("string").alias("ts"), F.lit(1).cast("long").alias("v"), F.lit("x").alias("w"))
+    plain = mark_duplicates(df, KEYS, "ts", skew="off")
+    split = mark_duplicates(df, KEYS, "ts", hot_key_rows=100, rows_per_task=1000)
+    assert "Union" in split._jdf.queryExecution().executedPlan().toString()
+    assert plain.exceptAll(split).count() == 0 and split.count() == 6000
+
+
+def test_observed_marks_of_an_empty_table(spark):
+    assert mark_duplicates(frame(spark, []), KEYS, "ts").count() == 0

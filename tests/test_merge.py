@@ -6,8 +6,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from kassa.operators.merge import merge_frames
-from kassa.sinks.snapshots import merge_snapshot, read_snapshot
-from kassa.sinks.tables import read_table, table_exists, upsert_partitioned
+from kassa.sinks.bucketed import co_located, create_bucketed, merge_bucketed
+from kassa.sinks.tables import bucket_column, read_table, table_exists, upsert_partitioned, with_key_bucket
 
 SCHEMA = "k long, region string, invoice_year int, v string, sourcets string"
 KEYS = ["k", "region"]
@@ -94,28 +94,76 @@ def test_upsert_refuses_keys_that_do_not_fix_the_partition(spark, tmpdir_path):
         upsert_partitioned(spark, df(spark, [(1, "A", 2020, "a", "1")]), os.path.join(tmpdir_path, "t"), ["k"], PARTS)
 
 
-def test_moving_rows_rewrite_only_old_and_new_partitions(spark, tmpdir_path):
-    path = os.path.join(tmpdir_path, "snap")
+def test_moving_rows_replace_old_and_new_in_one_overwrite(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "moving")
     first = df(spark, [(1, "A", 2020, "a", "1"), (2, "B", 2020, "b", "1"), (3, "C c/%:", 2021, "c", "1"), (4, None, 2021, "n", "1"),
                        (5, "", 2021, "blank", "1"), (6, "A", None, "y", "1")])
-    state = merge_snapshot(spark, first, path, ["k"], PARTS)
-    assert state["version"] == 1 and state["rewritten"] == 5
-    state = merge_snapshot(spark, df(spark, [(1, "B", 2020, "moved", "2"), (4, "C c/%:", 2021, "moved", "2")]), path, ["k"], PARTS)
-    # A/2020 is empty now, B/2020 and C/2021 and NULL/2021 (row 5 stays) are rewritten
-    assert state["rewritten"] == 3 and len(state["folders"]) == 4
-    assert sum(f.startswith("version=1/") for f in state["folders"]) == 1
-    assert rows_of(read_snapshot(spark, path, first.schema)) == sorted([
-        ("1", "B", "2020", "moved", "2"), ("2", "B", "2020", "b", "1"), ("3", "C c/%:", "2021", "c", "1"),
-        ("4", "C c/%:", "2021", "moved", "2"), ("5", "None", "2021", "blank", "1"), ("6", "A", "None", "y", "1")])
-
-
-def test_snapshot_readers_see_a_failed_commit_not_at_all(spark, tmpdir_path):
-    path = os.path.join(tmpdir_path, "snap2")
-    merge_snapshot(spark, df(spark, [(1, "A", 2020, "a", "1")]), path, ["k"], PARTS)
-    df(spark, [(9, "A", 2020, "half", "1")]).write.partitionBy(*PARTS).parquet(f"{path}/data/version=2")  # no pointer
-    assert rows_of(read_snapshot(spark, path, df(spark, []).schema)) == [("1", "A", "2020", "a", "1")]
-    merge_snapshot(spark, df(spark, [(2, "A", 2020, "b", "1")]), path, ["k"], PARTS)
-    assert rows_of(read_snapshot(spark, path, df(spark, []).schema)) == [("1", "A", "2020", "a", "1"), ("2", "A", "2020", "b", "1")]
+    assert upsert_partitioned(spark, first, path, ["k"], PARTS, key_buckets=8) == "created"
+    files = {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+    moved = df(spark, [(1, "B", 2020, "moved", "2"), (4, "C c/%:", 2021, "moved", "2")])
+    want = sorted([("1", "B", "2020", "moved", "2"), ("2", "B", "2020", "b", "1"), ("3", "C c/%:", "2021", "c", "1"),
+                   ("4", "C c/%:", "2021", "moved", "2"), ("5", "None", "2021", "blank", "1"), ("6", "A", "None", "y", "1")])
+    for _ in range(2):  # the second time changes nothing
+        assert upsert_partitioned(spark, moved, path, ["k"], PARTS, key_buckets=8) == "merged"
+        assert rows_of(read_table(spark, path, first.schema)) == want
+    touched = {r[0] for r in with_key_bucket(moved, ["k"], 8).select(bucket_column(8)).distinct().collect()}
+    kept = [f for f in files if int(f.split("key_bucket_of_8=")[1].split("/")[0]) not in touched]
+    assert kept and all(os.path.exists(f) for f in kept)  # other buckets aren't rewritten
+    with pytest.raises(ValueError):  # another number of buckets would miss the old rows
+        upsert_partitioned(spark, moved, path, ["k"], PARTS, key_buckets=16)
+
+
+def test_files_of_a_key_bucketed_table_are_sorted(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "sorted")
+    rows = df(spark, [(i, "ABC"[i % 3], 2020 + i % 2, str(i), "1") for i in range(300)])
+    upsert_partitioned(spark, rows, path, ["k"], PARTS, key_buckets=2)
+    for d, _, names in os.walk(path):
+        for f in names:
+            if f.endswith(".parquet"):
+                got = [tuple(r) for r in spark.read.parquet(os.path.join(d, f)).select(*PARTS).collect()]
+                assert got == sorted(got)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_bucketed_merge(spark, tmpdir_path, null_safe):
+    name = "bucketed_t" + str(null_safe).lower()
+    first = df(spark, [(i, "ABC"[i % 3], 2020, "old", "1") for i in range(60)] + [(None, "A", 2020, "null", "1")])
+    create_bucketed(first, name, 4, ["k", "region"], ["region"], os.path.join(tmpdir_path, "t"))
+    updates = df(spark, [(i, "AB"[i % 2], 2021, "new", "2") for i in range(0, 90, 7)] + [(None, "A", 2020, "null", "2")])
+    for _ in range(1 if not null_safe else 2):
+        merge_bucketed(spark, updates, name, ["k", "region"], ["region"], null_safe=null_safe)
+    got = rows_of(spark.table(name).select(*first.columns))
+    assert got == rows_of(merge_frames(first, updates, ["k", "region"], null_safe))
+    with pytest.raises(ValueError):
+        merge_bucketed(spark, updates.unionByName(updates), name, ["k", "region"], ["region"])
+
+
+def test_bucketed_merge_does_not_shuffle_the_target(spark, tmpdir_path):
+    """Exchanges stand over the updates only, also with more shuffle
+    partitions than buckets."""
+    first = df(spark, [(i, "A", 2020, "old", "1") for i in range(50)])
+    create_bucketed(first, "bucketed_plan", 4, ["k", "region"], ["region"], os.path.join(tmpdir_path, "t"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with co_located(spark):
+            merged = merge_frames(spark.table("bucketed_plan"), first, ["k", "region"], on_ambiguous="allow", dealt=(4, ["k"]))
+            plan = merged._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    scan = next(i for i, line in enumerate(plan) if "bucketed_plan" in line and "Scan parquet" in line)
+    assert "Bucketed: true" in plan[scan]
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    level, above = depth(plan[scan]), []
+    for line in reversed(plan[:scan]):  # the operators that the scan's rows pass
+        if depth(line) < level:
+            level = depth(line)
+            above.append(line)
+    assert any("LeftAnti" in line for line in above) and not any("Exchange" in line for line in above)
+    assert sum("Exchange hashpartitioning" in line for line in plan) >= 1
 
 
 ALL = KEYS + ["invoice_year"]

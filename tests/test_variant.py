@@ -1,0 +1,62 @@
+"""Schema-free flattening against a recursive version in plain Python."""
+
+import itertools
+import json
+import random
+
+from kassa.operators.variant import flatten_variant, known_columns, long_fields
+
+
+def plain(value):
+    """All flattened rows of a JSON value: lists of (path, scalar)."""
+    def rows(path, v):
+        if isinstance(v, dict) and v:
+            parts = [rows(f"{path}_{k}" if path else k, x) for k, x in v.items()]
+            return [sum(combination, []) for combination in itertools.product(*parts)]
+        if isinstance(v, list) and v:
+            return [r for x in v for r in rows(path, x)]
+        return [[(path, None if isinstance(v, (dict, list)) else v)]]
+    return rows("", value)
+
+
+def random_value(rng, depth=0):
+    kind = rng.randrange(8 if depth < 4 else 4)
+    if kind < 4:
+        return [rng.randrange(100), "x" * rng.randrange(3) + "é", None, True][kind]
+    if kind < 6:
+        return [random_value(rng, depth + 1) for _ in range(rng.randrange(3))]
+    return {f"k{i}": random_value(rng, depth + 1) for i in range(rng.randrange(4))}
+
+
+def as_text(v):
+    return None if v is None else {True: "true", False: "false"}[v] if isinstance(v, bool) else str(v)
+
+
+def test_against_plain_python(spark):
+    rng = random.Random(11)
+    values = [random_value(rng) for _ in range(120)]
+    df = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(values)], "id int, text string")
+    got = {}
+    for r in flatten_variant(df, "text").collect():
+        assert r["_corrupt_record"] is None
+        got.setdefault(r.id, []).append((tuple(r["items"]), sorted((f.path, f.value) for f in r.fields)))
+    for i, v in enumerate(values):
+        want = [sorted((p, as_text(x)) for p, x in row) for row in plain(v)]
+        assert sorted(map(repr, want)) == sorted(repr(fields) for _, fields in got[i])
+        assert len({items for items, _ in got[i]}) == len(got[i])  # they tell the rows of a record apart
+
+
+def test_known_columns_and_rest(spark):
+    df = spark.createDataFrame([("1", '{"a":{"b":1},"new":{"c":[true,2.5]}}'), ("2", "{oops"), ("3", None), ("4", '{"a_b":"x","a":{"b":"y"}}')],
+                               "fields string, text string").withColumnRenamed("fields", "key")
+    rows = sorted(known_columns(flatten_variant(df, "text"), ["a_b", "gone"]).collect(), key=lambda r: (r.key, r["items"]))
+    assert [(r.key, r["a_b"], r["gone"], r["_corrupt_record"], r["rest"] and [tuple(x) for x in r["rest"]]) for r in rows] == [
+        ("1", "1", None, None, [("new_c", "true", "BOOLEAN")]), ("1", "1", None, None, [("new_c", "2.5", "DECIMAL(2,1)")]),
+        ("2", None, None, "{oops", None), ("3", None, None, "", None), ("4", "y", None, None, [])]
+
+
+def test_empty_table_and_long_form(spark):
+    empty = flatten_variant(spark.createDataFrame([], "text string, id int"), "text")
+    assert empty.count() == 0 and empty.columns == ["id", "_corrupt_record", "items", "fields"]
+    one = long_fields(flatten_variant(spark.createDataFrame([(1, "[[],[3]]")], "id int, text string"), "text")).collect()
+    assert sorted((r["items"], r.path, r.value, r.type) for r in one) == [([0, -1], "", None, "VOID"), ([1, 0], "", "3", "BIGINT")]
