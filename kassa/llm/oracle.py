@@ -7,6 +7,7 @@ read from ``license_scan.py`` (they are data), their matching is written anew.
 from __future__ import annotations
 
 from .license_scan import BASE, MATCH_SHARE, TEMPLATES
+from .url_filter import SUFFIXES, UNWANTED
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -36,22 +37,33 @@ ORACLE["op6_url_filter"] = f"""
 WITH parts AS (
   SELECT page_id,
          translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{UPPER.lower()}') AS host,
-         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+         regexp_replace(replace(coalesce(html, ''), '&amp;', '&'),
+           '(?is)<script.*?</script>|<style.*?</style>|<nav.*?</nav>|<!--.*?-->|<[^>]*>', ' ', 'g') AS txt
   FROM pages),
+looked AS (
+  SELECT *, regexp_extract_all(txt, '[^\\x20\\x09-\\x0D]+') AS ws,
+         len(regexp_extract_all(txt, '[%#*$!|&]{{2,}}|[\\x20\\x09-\\x0D][|]')) AS marks
+  FROM parts),
+outcomes AS (
+  SELECT page_id, host, path, (len(ws) > 0 AND marks * 10 >= len(ws) * 3) OR (len(ws) >= 20 AND len(list_distinct(ws)) * 4 <= len(ws))
+         OR regexp_matches(host, '(^|[^a-z])({'|'.join(UNWANTED)})([^a-z]|$)') AS bad
+  FROM looked),
 ruled AS (
   SELECT *, CASE
       WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
       WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
       WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
       WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule
-  FROM parts),
+  FROM outcomes),
+named AS (SELECT *, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS labels, regexp_matches(host, '^[0-9.]+(:[0-9]*)?$') AS number
+          FROM ruled),
 judged AS (
   SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS by_rule,
-         string_split(host, '.')[-1] AS suffix,
-         CASE WHEN len(string_split(host, '.')) < 2 THEN host
-              ELSE string_split(host, '.')[-2] || '.' || string_split(host, '.')[-1] END AS domain
-  FROM ruled),
-h AS (SELECT suffix, domain, host, count(*)::DOUBLE AS n, sum((by_rule IS NOT DISTINCT FROM 'block')::INT)::DOUBLE AS k
+         CASE WHEN number THEN '' ELSE array_to_string(labels[-size:], '.') END AS suffix,
+         array_to_string(CASE WHEN number THEN labels ELSE labels[-size - 1:] END, '.') AS domain
+  FROM (SELECT *, CASE WHEN array_to_string(labels[-2:], '.') IN ({', '.join(f"'{x}'" for x in SUFFIXES)}) THEN 2 ELSE 1 END AS size FROM named)),
+h AS (SELECT suffix, domain, host, count(*)::DOUBLE AS n, sum(bad::INT)::DOUBLE AS k
       FROM judged GROUP BY ALL),
 d AS (SELECT suffix, domain, sum(n) AS n, sum(k) AS k FROM h GROUP BY ALL),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY ALL),
@@ -90,8 +102,8 @@ def _licenses() -> str:
         needed = [(p + j, w) for p, k in t.keys for j, w in enumerate(k)]
         words = [(p, w) for p, w in enumerate(t.words) if w]
         cols.append(f"{starts(needed, len(t.words))} AS s{i}")
-        there = " + ".join(f"(len(list_filter(s{i}, lambda s: s + {p} >= 0 AND ws[s + {p + 1}] = '{w}')) > 0)::INT" for p, w in words)
-        shares.append(f"CASE WHEN len(s{i}) > 0 THEN ({there}) / {len(words)}.0::DOUBLE ELSE 0 END AS c{i}")
+        there = " + ".join(f"CASE WHEN s + {p} >= 0 AND ws[s + {p + 1}] = '{w}' THEN 1 ELSE 0 END" for p, w in words)
+        shares.append(f"CASE WHEN len(s{i}) > 0 THEN list_max(list_transform(s{i}, lambda s: {there})) / {len(words)}.0::DOUBLE ELSE 0 END AS c{i}")
         labels.append(f"CASE WHEN c{i} >= {MATCH_SHARE} THEN '{t.label}' END")
     best = ", ".join(f"CASE WHEN c{i} >= {MATCH_SHARE} THEN c{i} ELSE 0 END" for i in range(len(TEMPLATES)))
     join = lambda x: f"coalesce(array_to_string(list_sort(list_distinct([{', '.join(x)}])), ','), '')"

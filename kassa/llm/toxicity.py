@@ -1,20 +1,26 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its character n-grams (with its ends marked) and itself,
-hashed into a table of embeddings; a word's vector is the mean of its bag, a
-window's the mean of its words, and a linear softmax over two classes judges
-the window. A text is toxic if any of its windows is (noisy or), so long texts
-don't dilute a few words. Embeddings and softmax are trained jointly, in
-numpy, on a bounded sample of labelled rows; a random half of every bag is
-left out at each step, so that no n-gram is relied on alone and an unseen
-misspelling is known by the n-grams it shares.
+hashed into a table of embeddings; a window's vector is the mean of its words',
+a word's the mean of its bag, and a linear softmax over two classes judges the
+window. A passage of some PASSAGE words is toxic if any of its windows is (noisy
+or). A text's logit is the mean over the TOP_SHARE of its passages that look
+worst: a share of them, not a number, so however long a clean text is, or how
+often it is repeated, its worse half stays as it was, while a text that is toxic
+throughout, if only by a word here and there, has such words in most passages.
+
+Embeddings and softmax are trained jointly, in numpy, on the passages of a
+bounded sample of labelled rows; a random half of every bag is left out at each
+step, so that no n-gram is relied on alone and an unseen misspelling is known by
+the n-grams it shares.
 
 The sample is the documented bound of what the driver holds: at most
-SAMPLE_ROWS labelled texts of at most SAMPLE_CHARS characters, taken in the
-order of a hash of doc_id. Every whole text is scored.
+SAMPLE_ROWS labelled texts, taken in the order of a hash of doc_id, and of a text
+with more than SAMPLE_PASSAGES passages so many of them, at equal steps from its
+beginning to its end. Every whole text is scored.
 
 Defined results: a null text is the empty text; a text without words has no
-window and scores 0; without labels of both classes every score is 0; several
+passage and scores 0; without labels of both classes every score is 0; several
 labels of a document count as toxic if their mean is one half or more, null
 labels not at all; rows that share doc_id are scored each by its own text; a
 row without doc_id is never learned from; an empty table gives an empty
@@ -38,9 +44,9 @@ from .quality import held_out
 BUCKETS = 1 << 17
 DIMENSIONS = 4
 GRAMS = (3, 4, 5)
-WINDOW = 1
-SAMPLE_ROWS, SAMPLE_CHARS = 3000, 20_000
-STEPS, RATE, DROP, DECAY = 40, 0.5, 0.5, 0.1
+WINDOW, PASSAGE, TOP_SHARE = 1, 80, 0.5
+SAMPLE_ROWS, SAMPLE_PASSAGES = 3000, 12
+STEPS, RATE, DROP, DECAY = 100, 0.5, 0.5, 0.1
 MISSPELT = 0.7   # of the longer words of a text that is learned from once more
 TOXIC_FROM = 0.7
 PIECE = 1 << 20  # characters that are hashed at a time
@@ -92,26 +98,53 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def passage_starts(n: int) -> np.ndarray:
+    """First words of the passages of a text of n words, all of nearly the same
+    length, so that no short one is left at the end."""
+    passages = max(1, round(n / PASSAGE))
+    return np.arange(passages) * n // passages
+
+
 class Toxicity:
     def __init__(self, value: np.ndarray | None, bias: float = 0.0):
         self.value, self.bias = value, bias  # embedding times softmax weights, a number for each place of the table
 
-    def windows(self, text: str) -> np.ndarray:
-        """The logit of each window of a text."""
-        out = []
+    def passages(self, text: str) -> np.ndarray:
+        """The logit of each passage of a text."""
+        words = []
         for part in pieces(text):
             bags = Bags(part)
             if bags.n:
-                total = np.bincount(bags.of, self.value[bags.gram], bags.n)
-                word = total / np.bincount(bags.of, minlength=bags.n)
-                at = np.arange(0, bags.n, WINDOW)
-                out.append(np.add.reduceat(word, at) / np.diff(np.append(at, bags.n)) + self.bias)
-        return np.concatenate(out) if out else np.zeros(0)
+                words.append(np.bincount(bags.of, self.value[bags.gram], bags.n) / np.bincount(bags.of, minlength=bags.n))
+        if not words:
+            return np.zeros(0)
+        word = np.concatenate(words)
+        at = np.arange(0, len(word), WINDOW)
+        window = np.add.reduceat(word, at) / np.diff(np.append(at, len(word))) + self.bias
+        none = np.add.reduceat(np.logaddexp(0, window), np.unique(passage_starts(len(word)) // WINDOW))  # -log P(no window is toxic)
+        return np.log(np.maximum(-np.expm1(-none), 1e-300)) + none
 
     def __call__(self, text: str) -> float:
-        if self.value is None:
+        logits = self.passages(text) if self.value is not None else ()
+        if not len(logits):
             return 0.0
-        return float(-np.expm1(-np.logaddexp(0, self.windows(text)).sum()))
+        k = max(1, round(TOP_SHARE * len(logits)))
+        worst = np.partition(logits, len(logits) - k)[len(logits) - k:].mean()
+        return float(1 / (1 + np.exp(-np.clip(worst, -500, 500))))
+
+
+WORD = re.compile(r"[a-zA-Z0-9\x80-\U0010ffff]+")  # as Bags takes them
+
+
+def sampled_passages(text: str, most: int = SAMPLE_PASSAGES) -> list[str]:
+    """The passages of a text, at most so many, at equal steps."""
+    words = WORD.findall(text)
+    if not words:
+        return []
+    at = np.append(passage_starts(len(words)), len(words))
+    n = len(at) - 1
+    chosen = np.arange(n) if n <= most else np.linspace(0, n - 1, most).round().astype(int)
+    return [" ".join(words[at[i]:at[i + 1]]) for i in chosen]
 
 
 def misspelt(text: str, rng: random.Random) -> str:
@@ -128,9 +161,9 @@ def misspelt(text: str, rng: random.Random) -> str:
 
 
 def train(texts: list[str], toxic: np.ndarray, seed: int = 3) -> Toxicity:
-    """Full-gradient steps (Adagrad) on the log likelihood of the texts'
-    labels. The toxic texts and as many others are learned from once more with
-    misspellings in them."""
+    """Full-gradient steps (Adagrad) on the log likelihood of the passages'
+    labels (``texts`` are passages). The toxic ones and as many others are
+    learned from once more with misspellings in them."""
     if not (toxic == 1).any() or not (toxic == 0).any():
         return Toxicity(None)
     rng, pick = np.random.default_rng(seed), random.Random(seed)
@@ -193,16 +226,21 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 3) -> Toxicity:
     return Toxicity((soft[:, 1] - soft[:, 0]) @ table.astype(np.float64), float(bias))
 
 
-
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Toxicity:
     known = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-             .agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y")).where(~held_out())
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    text = text_of()
-    sample = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(F.length("text") <= SAMPLE_CHARS)
-              .join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
-              .select("text", "y").collect())  # at most ``rows`` rows
-    return train([r["text"] for r in sample], np.array([r["y"] for r in sample], int))
+             .agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("int").alias("y")).where(~held_out()))
+    ids = (docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(known, "doc_id")
+           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).dropDuplicates(["doc_id"]))  # those that have a text
+    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("_text")).join(F.broadcast(ids), "doc_id")
+    small_batches(docs.sparkSession)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"id": batch["doc_id"], "y": batch["y"], "passages": [sampled_passages(t) for t in batch["_text"]]})
+    sample = (labelled.mapInPandas(cut, "id long, y int, passages array<string>")
+              .orderBy(F.xxhash64("id"), "id", "passages").limit(rows).collect())  # at most ``rows`` texts of SAMPLE_PASSAGES passages
+    texts, toxic = [p for r in sample for p in r["passages"]], [r["y"] for r in sample for _ in r["passages"]]
+    return train(texts, np.array(toxic, int))
 
 
 def score(docs: DataFrame, model: Toxicity) -> DataFrame:

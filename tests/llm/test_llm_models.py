@@ -86,6 +86,22 @@ def test_random_features_approximate_the_gaussian_kernel():
 INSULTS = ["grobnik", "plontered", "vexilous", "snarvish"]
 
 
+def test_long_clean_texts_stay_clean(spark):
+    """Clean labelled texts repeated and joined to megabytes stay below the
+    threshold; toxic ones repeated stay above it."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = toxicity.fit(docs, labels)
+    rows = docs.join(labels.where("toxic IS NOT NULL"), "doc_id").where("length(text) > 500").orderBy("doc_id").select("text", "toxic").collect()
+    clean, toxic = [r.text for r in rows if not r.toxic], [r.text for r in rows if r.toxic]
+    low = [t for t in clean[:25] if model(t) < 0.5]
+    assert len(low) >= 23
+    assert max(model(t * 100) for t in low) < toxicity.TOXIC_FROM
+    joined = "\n".join(clean) * 4
+    assert len(joined) > 1_500_000 and model(joined) < toxicity.TOXIC_FROM
+    high = [t for t in toxic if model(t) > 0.9][:10]
+    assert len(high) >= 5 and min(model(t * 50) for t in high) >= toxicity.TOXIC_FROM
+
+
 def toxic_corpus(rng, n):
     words = ["".join(rng.choices("abcdefghilmnoprstu", k=rng.choice([2, 4, 6, 8]))) for _ in range(2000)]
     texts, y = [], []
@@ -101,23 +117,24 @@ def toxic_corpus(rng, n):
 def test_toxicity_on_held_out_texts_and_misspellings():
     rng = random.Random(4)
     texts, y = toxic_corpus(rng, 900)
-    model = toxicity.train(texts[:600], y[:600])
+    cut = [toxicity.sampled_passages(t) for t in texts[:600]]
+    model = toxicity.train([p for ps in cut for p in ps], np.repeat(y[:600], [len(ps) for ps in cut]))
     score = np.array([model(t) for t in texts[600:]])
     assert ((score >= toxicity.TOXIC_FROM) == y[600:]).mean() > 0.98
     seen = set(" ".join(texts[:600]).split())
     other = ["".join(rng.choices("abcdefghilmnoprstu", k=8)) for _ in range(500)]
-    usual = np.quantile([model.windows(w)[0] for w in other], 0.99)
+    usual = np.quantile([model.passages(w)[0] for w in other], 0.99)
     edits = {w[:i] + x + w[j:] for w in INSULTS for i in range(1, len(w) - 1) for j, x in ((i + 1, ""), (i, w[i]), (i + 1, "e"))} - seen - set(INSULTS)
-    assert np.mean([model.windows(w)[0] > usual for w in edits]) > 0.75  # spellings it has never met
+    assert np.mean([model.passages(w)[0] > usual for w in edits]) > 0.75  # spellings it has never met
 
 
 def test_long_texts_are_scored_whole(monkeypatch):
     value = np.random.default_rng(5).normal(size=toxicity.BUCKETS)
     model, rng = toxicity.Toxicity(value, -4.0), random.Random(5)
     text = " ".join("".join(rng.choices("abcdeé", k=5)) for _ in range(400))
-    whole = np.sort(model.windows(text))
+    whole = np.sort(model.passages(text))
     monkeypatch.setattr(toxicity, "PIECE", 100)
-    assert np.allclose(np.sort(model.windows(text)), whole) and model("") == 0 and model("...") == 0
+    assert np.allclose(np.sort(model.passages(text)), whole) and model("") == 0 and model("...") == 0
 
 
 def test_toxicity_query_on_whole_table(spark):

@@ -37,7 +37,7 @@ def test_licenses(spark):
             starts = [s for s in range(-len(t.words), len(words)) if all(
                 s + p >= 0 and words[s + p:s + p + len(k)] == list(k) for p, k in t.keys)]
             have = [p for p, w in enumerate(t.words) if w]
-            share = sum(any(0 <= s + p < len(words) and words[s + p] == t.words[p] for s in starts) for p in have) / len(have)
+            share = max((sum(0 <= s + p < len(words) and words[s + p] == t.words[p] for p in have) / len(have) for s in starts), default=0)
             if starts and share >= license_scan.MATCH_SHARE:
                 labels, best = labels | {t.label}, max(best, share)
         assert r.labels == ",".join(sorted(labels)) and r.score == pytest.approx(best) and 0 <= r.score <= 1
@@ -58,6 +58,80 @@ def test_reputation_shrinks_and_blocks(spark):
     assert {r.verdict for r in judged.where("host like '%fine.com'").collect()} == {"allow"}
 
 
+def test_posterior_against_plain_arithmetic(spark):
+    """The estimates of each level, by loops; ports and two-label suffixes."""
+    rng = random.Random(2)
+    hosts = ["a.x.com", "b.x.com:8080", "c.y.com", "d.y.co.uk", "e.y.co.uk", "z.co.uk", "10.0.0.1:80", "", "lone"]
+    rate = {h: rng.random() for h in hosts}
+    rows = [(h, int(rng.random() < rate[h])) for h in hosts for _ in range(rng.randint(1, 40))]
+    suffix = {"a.x.com": "com", "b.x.com:8080": "com", "c.y.com": "com", "10.0.0.1:80": "", "": "", "lone": "lone"}
+    domain = {"a.x.com": "x.com", "b.x.com:8080": "x.com", "c.y.com": "y.com", "z.co.uk": "z.co.uk", "10.0.0.1:80": "10.0.0.1", "": "", "lone": "lone"}
+    levels = [lambda h: suffix.get(h, "co.uk"), lambda h: (domain.get(h, "y.co.uk"), suffix.get(h, "co.uk")), lambda h: h]
+    n, k = len(rows), sum(b for _, b in rows)
+    prior = {h: (k + 0.5) / (n + 1) for h in hosts}
+    for level in levels:
+        groups = {}
+        for h, b in rows:
+            g = groups.setdefault(level(h), [0, 0, prior[h]])
+            g[0], g[1] = g[0] + 1, g[1] + b
+        seen = sum(n * (k / n - m) ** 2 for n, k, m in groups.values())
+        within = sum(m * (1 - m) for _, _, m in groups.values())
+        more = sum(m * (1 - m) * (n - 1) for n, _, m in groups.values())
+        strength = 1 / min(max((seen - within) / more if more else 0.5, 1 / 1001), 0.5) - 1
+        share = {g: (k + strength * m) / (n + strength) for g, (n, k, m) in groups.items()}
+        size = {g: n + strength for g, (n, _, _) in groups.items()}
+        prior = {h: share[level(h)] for h in hosts}
+    got = {r.host: r for r in url_filter.host_reputation(spark.createDataFrame(rows, "host string, bad int")).collect()}
+    assert set(got) == set(hosts)
+    for h in hosts:
+        assert got[h].share == pytest.approx(prior[h], abs=1e-5)
+        lower = prior[h] - 1.645 * (prior[h] * (1 - prior[h]) / (size[h] + 1)) ** 0.5
+        assert got[h].lower == pytest.approx(max(0, lower), abs=1e-5)
+
+
+def test_pages_without_a_rule_are_judged_by_outcomes(spark):
+    junk = "<p>" + "word%%% other### " * 30
+    rows = [(i, f"http://bad.example.org/{i}", junk) for i in range(12)] + [(100 + i, f"http://fine.example.org/{i}", "<p>A plain text.") for i in range(30)]
+    rows += [(200, "http://bad.example.org/fr/", junk), (201, None, None), (202, "http://one.example.org/", junk)]
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(
+        spark.createDataFrame(rows, "page_id long, url string, html string"), ["org/fr/"], ["net/"]).collect()}
+    assert {got[i] for i in range(12)} == {(None, "block")} and {got[100 + i] for i in range(30)} == {(None, "allow")}
+    assert got[200] == ("org/fr/", "allow") and got[201] == (None, "allow") and got[202] == (None, "allow")
+    html = F.col("html")
+    outcome = {r.h: r.o for r in spark.createDataFrame([(x,) for x in (
+        None, "", "<script>$$$$ %%%% ####</script> one", "a a a a " * 6, "x | y | z |", "que&amp;&amp; le&amp;&amp; la")], "html string").select(
+        html.alias("h"), url_filter.page_outcome(html, F.lit("")).alias("o")).collect()}
+    assert list(outcome.values()) == [0, 0, 0, 1, 1, 1]
+
+
+def test_some_pages_without_a_rule_are_blocked(spark):
+    from kassa.llm.queries import op6_url_filter
+    rows = op6_url_filter(spark, "/root/testdata/sf0.01").where("rule IS NULL").groupBy("verdict").count().collect()
+    assert {r.verdict for r in rows} == {"allow", "block"}
+
+
+def test_license_index_decides(spark):
+    """Without a rare word's posting its templates are never proposed."""
+    docs = spark.createDataFrame([(1, LICENCES[0]), (2, LICENCES[4])], "doc_id long, text string")
+    vocab = license_scan.vocabulary()
+    hits = license_scan.word_hits(docs, vocab, ["doc_id"]).cache()
+    idf = license_scan.inverse_document_frequency(hits, vocab)
+    index = license_scan.postings(license_scan.TEMPLATES, vocab, lambda t: license_scan.rare_places(t, idf))
+    found = lambda index: {license_scan.TEMPLATES[r.template].label for r in license_scan.template_matches(
+        hits, license_scan.TEMPLATES, vocab, idf, index).collect()}
+    assert found(index) == found(None) == {"gpl-3.0", "apache-2.0"}
+    del index[vocab.index("apache")]
+    assert found(index) == {"gpl-3.0"}
+
+
+def test_license_share_is_counted_from_one_start(spark):
+    """Three starts with at most five of nine words each are no match."""
+    t = license_scan.template("x", "k a b c d e f g h", "k")
+    text = "k a b c d . k . . . . e f . k . . . . . . g h".replace(".", "zz")
+    rows = license_scan.scan_licenses(spark.createDataFrame([(1, text), (2, "k a b c d e")], "doc_id long, text string"), templates=(t,)).collect()
+    assert {r.doc_id: (r.labels, round(r.score, 2)) for r in rows} == {1: ("", 0.0), 2: ("x", 0.67)}
+
+
 def test_longest_rule_wins(spark):
     pages = spark.createDataFrame([(1, "http://a.example.net/en/x"), (2, "http://a.example.net/de/"), (3, "http://example.net/en"),
                                    (4, "http://notexample.net/en/"), (5, "HTTPS://X.ORG/fr/?a"), (6, "https://x.org/FR/")], "page_id long, url string")
