@@ -644,6 +644,28 @@ def sql_archive_from_publish():
     return sql_raw_archive_latest()
 
 
+def sql_load_incremental():
+    return sql_monthly_store_sales()
+
+
+def sql_sql_surface():
+    return monthly_sql("SELECT m.*, round((total_sales - lead(total_sales) OVER w) / nullif(lead(total_sales) OVER w, 0) * 100, 2) AS change "
+                       "FROM monthly m WINDOW w AS (PARTITION BY region, storeno ORDER BY invoice_year DESC, invoice_month DESC)")
+
+
+def sql_sorted_on_disk():
+    return monthly_sql("SELECT *, row_number() OVER (ORDER BY region NULLS FIRST, storeno NULLS FIRST, invoice_year DESC NULLS LAST, "
+                       "invoice_month DESC NULLS LAST) - 1 AS position FROM monthly")
+
+
+def sql_ingest_native_sink():
+    return sql_scan_parquet()
+
+
+def sql_json_array_split():
+    return sql_scan_parquet()
+
+
 def sql_archive_compacted():
     return sql_raw_archive_latest()
 

@@ -15,12 +15,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from kassa.functions import casts, derive
+from kassa.functions import casts, derive, sql
 from kassa.operators import aggregate, clean, dedup, enrich, merge, nested, trends, variant
-from kassa.plans import batch
+from kassa.plans import batch, incremental
 from kassa.schemas import DEDUP_KEYS_DAILY, MERGE_KEYS, STAGING_SCHEMA, transaction_schema
 from kassa.session import materialize, scratch_path
-from kassa.sinks import bucketed, stream_files, tables
+from kassa.sinks import bucketed, ordered, stream_files, tables
 from kassa.sources import files, testmap
 from kassa.streaming import ingest
 
@@ -290,6 +290,28 @@ def q_monthly_sales_sorted(spark, d):
     return comparable(aggregate.sort_monthly(monthly(spark, d)))
 
 
+def q_sql_surface(spark, d):
+    """The load, from typing to the summary with its lead and lag, as SQL
+    text over views of the session."""
+    staged(spark, d).createOrReplaceTempView("staging")
+    for name, dim in zip(("currency", "conversion", "discount"), testmap.dims(spark, d)):
+        dim.createOrReplaceTempView(name)
+    sql.register(spark)
+    return spark.sql("""
+        SELECT *, kassa_change(total_sales, lead(total_sales) OVER (PARTITION BY region, storeno
+                  ORDER BY invoice_year DESC, invoice_month DESC)) AS change
+        FROM kassa_monthly()""")
+
+
+def q_sorted_on_disk(spark, d):
+    """The sorted summary as it lies on disk: every row with its position."""
+    path = scratch_path(spark, "ordered")
+    order = [F.col("region").asc_nulls_first(), F.col("storeno").asc_nulls_first(),
+             F.col("invoice_year").desc_nulls_last(), F.col("invoice_month").desc_nulls_last()]
+    ordered.write_ordered(comparable(monthly(spark, d)), path, *order)
+    return ordered.read_ordered(spark, path)
+
+
 def q_sales_lead_lag(spark, d):
     # Totals as double, as the reference sums doubles; lead/lag over them.
     return trends.sales_lead_lag(comparable(monthly(spark, d)))
@@ -379,6 +401,19 @@ def q_load_summary(spark, d):
     return comparable(batch.load_job(spark, st.filter(late), *dims, path, money="decimal", on_ambiguous="latest"))
 
 
+def q_load_incremental(spark, d):
+    """Two drops into the staging folder, a load after each and one more that
+    finds nothing new: the summaries of the batches."""
+    base, st, dims = scratch_path(spark, "incremental"), staged(spark, d), testmap.dims(spark, d)
+    late = F.col("RetailTxnData_InvoiceDateTime") >= "1996"
+    for drop in (st.filter(~late), st.filter(late), None):
+        if drop is not None:
+            drop.write.mode("append").parquet(f"{base}/stage")
+        incremental.load_incremental(spark, f"{base}/stage", dims, f"{base}/curated", f"{base}/summary", f"{base}/ckpt",
+                                     money="decimal", on_ambiguous="latest").awaitTermination()
+    return comparable(spark.read.parquet(f"{base}/summary").drop("batch_id"))
+
+
 # -- nested payloads ------------------------------------------------------------
 
 def q_flatten_nested(spark, d):
@@ -526,6 +561,25 @@ def q_ingest_staged(spark, d):
     return files.read_parquet(spark, f"{_ingested(spark, _records(spark, d))}/stage", STAGING_SCHEMA).select(*STAGING_SCHEMA.names)
 
 
+def q_ingest_native_sink(spark, d):
+    """Staging by the file sink, with a stop and a restart between two drops."""
+    st, base = staged(spark, d), scratch_path(spark, "native")
+    pos = F.col("RetailTxnData_StorePos").cast("int")
+    for drop in (st.filter(pos <= 3), st.filter(pos > 3)):
+        testmap.envelopes(drop).write.mode("append").json(f"{base}/records")
+        ingest.start_native_ingest(spark, f"{base}/records", f"{base}/stage", f"{base}/ckpt").awaitTermination()
+    return spark.read.schema(STAGING_SCHEMA).parquet(f"{base}/stage")
+
+
+def q_json_array_split(spark, d):
+    """Documents from files that hold JSON arrays, one array for each order."""
+    path = scratch_path(spark, "arrays")
+    docs = testmap.nested_documents(staged(spark, d))
+    arrays = docs.groupBy("RetailTxnData.InvoiceNo").agg(F.to_json(F.collect_list(F.struct("RetailTxnData"))).alias("value"))
+    arrays.select("value").write.text(path)
+    return nested.flatten(files.read_json_arrays_split(spark, path, opening='{"RetailTxnData"', glob="*.txt"))
+
+
 def q_ingest_quarantined(spark, d):
     """What the stream sets apart: records, and single line items with their
     text."""

@@ -43,3 +43,14 @@ def test_timestamp(spark, ansi):
                                "s string")
     got = [r[0] for r in df.select(casts.lenient_timestamp("s").cast("string")).collect()]
     assert got == ["2024-01-31 10:11:12", "2024-01-31 00:00:00", None, None]
+
+
+def test_sql_functions_agree_with_the_column_expressions(spark, ansi):
+    from kassa.functions import sql
+    from kassa.functions.casts import lenient_double, lenient_long, money
+    sql.register(spark, tables=False)
+    values = ["12", " 12.9 ", "-3.7", "+4", "1e3", ".5", "5.", ".", "-", "+.5", "", "abc", None, "99999999999999999999", "$12.50", "$1,234.50", "NaN"]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    rows = df.selectExpr("x", "kassa_long(x) AS l", "kassa_double(x) AS d", "kassa_money(x) AS m").collect()
+    want = df.select("x", lenient_long("x").alias("l"), lenient_double("x").alias("d"), money("x", "decimal").alias("m")).collect()
+    assert [str(r) for r in rows] == [str(r) for r in want]
