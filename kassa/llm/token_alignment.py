@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import id_text, keep, small_batches, with_ids
 
 ALIGNED = "doc_id string, n_a long, n_b long, n_groups long, groups string, same binary, rest binary"
-KNOWN_CHARS = 1 << 22  # of chunks that a task remembers, before it starts anew
+KNOWN_CHARS = 1 << 21  # of chunks that a task remembers, before it starts anew
 AT_ONCE = 1 << 18      # characters of new chunks that are encoded side by side
 
 
