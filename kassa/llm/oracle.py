@@ -126,52 +126,27 @@ WITH l AS (
   SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS txt
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
 w AS (
-  SELECT doc_id, pos, ('0x' || substr(md5(txt), 1, 15))::BIGINT AS line,
-         len(regexp_extract_all(txt, '[^\\x20\\x09-\\x0D]+')) AS n
+  SELECT doc_id, pos, md5(txt) AS line, len(regexp_extract_all(txt, '[^\\x20\\x09-\\x0D]+')) AS n
   FROM l),
 p AS (
-  SELECT *, row_number() OVER d - 1 AS idx, sum(n) OVER d - n AS start, sum(n) OVER (PARTITION BY doc_id) AS total
+  SELECT *, row_number() OVER d - 1 AS idx, sum(n) OVER d - n AS b, sum(n) OVER d AS e
   FROM w WHERE n > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY pos)),
-g AS (
-  SELECT *, CASE WHEN start + 40 <= total THEN ('0x' || substr(md5(string_agg(line::VARCHAR, ',') OVER (
-           PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 39 FOLLOWING)), 1, 15))::BIGINT END AS gram
-  FROM p),
-k AS (
-  SELECT doc_id, start, total, min({'gram': gram, 'back': -idx}) FILTER (WHERE gram IS NOT NULL) OVER (
-           PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND 10 FOLLOWING) AS pick
-  FROM g),
-f AS (SELECT DISTINCT doc_id, pick.gram AS gram, -pick.back AS idx FROM k WHERE start + 50 <= total AND pick IS NOT NULL),
-first_of AS (SELECT gram, min({'d': doc_id, 'i': idx}) AS first FROM f GROUP BY gram HAVING count(*) > 1),
-s AS (
-  SELECT f.doc_id, f.idx, first, lag(f.idx) OVER (PARTITION BY f.doc_id, f.gram ORDER BY f.idx) AS before
-  FROM f JOIN first_of USING (gram)),
-a AS (
-  SELECT doc_id, idx, min(CASE WHEN before IS NOT NULL THEN {'d': doc_id, 'i': before}
-                               WHEN first.d <> doc_id THEN first END) AS src
-  FROM s GROUP BY ALL HAVING src IS NOT NULL),
-near AS (
-  SELECT g.doc_id, g.pos, g.idx, g.n, g.line,
-         last_value(CASE WHEN a.idx IS NOT NULL THEN {'spot': a.idx, 'src': a.src} END IGNORE NULLS) OVER (
-           PARTITION BY g.doc_id ORDER BY g.idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lft,
-         first_value(CASE WHEN a.idx IS NOT NULL THEN {'spot': a.idx, 'src': a.src} END IGNORE NULLS) OVER (
-           PARTITION BY g.doc_id ORDER BY g.idx ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rgt
-  FROM g LEFT JOIN a ON a.doc_id = g.doc_id AND a.idx = g.idx
-  WHERE g.doc_id IN (SELECT doc_id FROM a)),
-tried AS (
-  SELECT doc_id, pos, idx, n, line, lft.spot AS spot, lft.src AS src FROM near WHERE lft IS NOT NULL
-  UNION SELECT doc_id, pos, idx, n, line, rgt.spot, rgt.src FROM near WHERE rgt IS NOT NULL),
-e AS (
-  SELECT t.*, coalesce(t.line = g.line, false) AS equal
-  FROM tried t LEFT JOIN g ON g.doc_id = t.src.d AND g.idx = t.src.i + t.idx - t.spot),
-o AS (
-  SELECT *, bool_and(equal) OVER (PARTITION BY doc_id, spot, idx >= spot ORDER BY abs(idx - spot)) AS reached,
-         bool_and(equal OR idx <> spot) OVER (PARTITION BY doc_id, spot) AS anchored
-  FROM e),
-c AS (SELECT DISTINCT doc_id, idx, pos, n FROM o WHERE reached AND anchored),
+-- the fewest lines from each line on, and up to each line, that hold 50 words
+shortest AS (
+  SELECT doc_id, idx AS lo, last_value(idx) OVER f AS hi, b, last_value(e) OVER f AS e, string_agg(line, ',') OVER f AS run
+  FROM p WINDOW f AS (PARTITION BY doc_id ORDER BY b RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION
+  SELECT doc_id, first_value(idx) OVER f, idx, first_value(b) OVER f, e, string_agg(line, ',') OVER f
+  FROM p WINDOW f AS (PARTITION BY doc_id ORDER BY e RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+placed AS (
+  SELECT doc_id, lo, hi, min({'d': doc_id, 'i': lo}) OVER (PARTITION BY run) AS origin FROM shortest WHERE e - b >= 50),
+later AS (SELECT doc_id, lo, hi FROM placed WHERE origin <> {'d': doc_id, 'i': lo}),
+c AS (
+  SELECT DISTINCT p.doc_id, p.idx, p.pos, p.n FROM p JOIN later ON p.doc_id = later.doc_id AND p.idx BETWEEN later.lo AND later.hi),
 r AS (
   SELECT doc_id, min(pos) AS lo, max(pos) AS hi, sum(n) AS words
   FROM (SELECT *, idx - row_number() OVER (PARTITION BY doc_id ORDER BY idx) AS run FROM c)
-  GROUP BY doc_id, run HAVING sum(n) >= 50),
+  GROUP BY doc_id, run),
 cut AS (
   SELECT l.doc_id, string_agg(txt, chr(10) ORDER BY l.pos) AS text
   FROM l JOIN (SELECT DISTINCT doc_id FROM r) USING (doc_id)
