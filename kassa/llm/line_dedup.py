@@ -41,8 +41,9 @@ DOC = ["_d", "_h"]
 
 
 def line_hash(text: Column) -> Column:
-    """60 bits of the line's MD5, as a long."""
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    """The whole MD5: with 128 bits, lines and runs that differ don't meet by
+    chance in a corpus of any size."""
+    return F.md5(text)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def lines(docs: DataFrame, run_words: int, gram_words: int) -> DataFrame:
     placed = (found.withColumn("idx", F.row_number().over(by_pos) - 1)
               .withColumn("start", F.sum("n").over(by_pos) - F.col("n"))
               .withColumn("total", F.sum("n").over(doc)))
-    gram = F.concat_ws(",", F.collect_list(F.col("line").cast("string")).over(by_word.rangeBetween(0, gram_words - 1)))
+    gram = F.concat_ws(",", F.collect_list("line").over(by_word.rangeBetween(0, gram_words - 1)))
     grams = placed.withColumn("gram", F.when(F.col("start") + gram_words <= F.col("total"), line_hash(gram.cast("binary"))))
     pick = F.min(F.when(F.col("gram").isNotNull(), F.struct("gram", (-F.col("idx")).alias("back")))).over(
         by_word.rangeBetween(0, run_words - gram_words))
@@ -90,7 +91,7 @@ def whole_runs(found: DataFrame, run_words: int) -> DataFrame:
     on = W.partitionBy(*DOC).orderBy("start").rangeBetween(0, run_words - 1)
     back = W.partitionBy(*DOC).orderBy("end").rangeBetween(1 - run_words, 0)
     at = F.struct("idx", "pos", "start", "end", F.col("pick.gram").alias("gram"))
-    hashed = lambda w: line_hash(F.concat_ws(",", F.collect_list(F.col("line").cast("string")).over(w)).cast("binary"))
+    hashed = lambda w: line_hash(F.concat_ws(",", F.collect_list("line").over(w)).cast("binary"))
     both = near.select(*DOC, at.alias("at"), F.last(at).over(on).alias("to"), hashed(on).alias("ahead"), F.first(at).over(back).alias("since"),
                        F.lag("end").over(W.partitionBy(*DOC).orderBy("end")).alias("before"), hashed(back).alias("behind"))
     run = lambda a, b, h: F.struct(a["idx"].alias("lo"), b["idx"].alias("hi"), a["pos"].alias("first"), b["pos"].alias("last"),
