@@ -9,9 +9,10 @@ the prefix of the bucket with |p| >= s / |q|. What is left is verified with
 exact integer products. The first bounds s come from the bucket of the longest
 vectors.
 
-The stated queries meet all rows block by block: a task gets one block of
+The stated queries meet the buckets block by block: a task gets one block of
 queries and one bucket, so its memory doesn't depend on the data, and returns
-at most k rows a query.
+at most k rows a query. A bucket whose longest vector is too short for every
+query of a block isn't sent to it.
 
 Defined results: rows whose id or vector is null, or whose vector holds a null
 or non-finite component, take no part; only vectors of equal dimension are
@@ -37,7 +38,7 @@ ROWS_AT_A_TIME, BLOCKS_AT_A_TIME = 1024, 4  # in an Arrow batch: vectors, pairs
 COORDINATE_FROM = 0.5  # local cosine threshold from which coordinates prune
 FOCUS = 4              # coordinates that are tested
 SLACK = 1e-9           # keeps rounding from pruning a tie
-BLOCK = "dim int, block string, longest double, ids array<long>, vectors binary"
+BLOCK = "dim int, block string, longest double, ids array<long>, norms array<double>, vectors binary"
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -66,7 +67,7 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
             cut += 1
             v = np.concatenate(group["v"].to_list()).astype("<i8") if dim else np.zeros(0, "<i8")
             return pd.DataFrame({"dim": [dim], "block": [f"{part}-{cut}"], "longest": [float(group["norm"].iloc[0])],
-                                 "ids": [group["id"].to_list()], "vectors": [v.tobytes()]})
+                                 "ids": [group["id"].to_list()], "norms": [group["norm"].to_list()], "vectors": [v.tobytes()]})
         for batch in batches:
             for dim, group in batch.groupby("dim"):
                 for at in range(0, len(group), size):
@@ -143,6 +144,25 @@ def search(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.mapInPandas(run, FOUND)
 
 
+def block_bounds(asked: DataFrame, bounds: DataFrame) -> DataFrame:
+    """dim, q_block, bounds (query_id, bound) of its queries, at most as many
+    as a block has, and least: the length that a vector needs to matter to any
+    of them. A query without a positive bound needs none."""
+    members = asked.select("dim", "q_block", F.explode(F.arrays_zip("q_ids", "q_norms")).alias("q")).select(
+        "dim", "q_block", F.col("q.q_ids").alias("query_id"), F.col("q.q_norms").alias("norm"))
+    needs = F.when((F.col("bound") > 0) & (F.col("norm") > 0), F.col("bound") / F.col("norm")).otherwise(F.lit(float("-inf")))
+    return members.join(bounds, "query_id", "left").groupBy("dim", "q_block").agg(
+        F.min(needs).alias("least"),
+        F.collect_set(F.when(F.col("bound").isNotNull(), F.struct("query_id", "bound"))).alias("bounds"))
+
+
+def meetings(bounds: DataFrame, buckets: DataFrame) -> DataFrame:
+    """dim, q_block, block: every query block with the buckets of its dimension
+    whose longest vector is long enough for one of its queries."""
+    return bounds.select("dim", "q_block", "least").join(buckets.select("dim", "block", "longest"), "dim").where(
+        F.col("longest") >= F.col("least") * (1 - SLACK) - SLACK).select("dim", "q_block", "block")
+
+
 def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id",
                vector_col: str = "embedding", bucket_rows: int = BUCKET_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: for every row where ``is_query`` holds
@@ -154,23 +174,20 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 25
         asked = keep(blocks(quantized(vectors.where(is_query), id_col, vector_col, scale), query_rows), "queries")
     drop_kept(rows)
     asked = asked.select(
-        "dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+        "dim", F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("norms").alias("q_norms"), F.col("vectors").alias("q_vectors"))
 
     longest = buckets.groupBy("dim").agg(F.max_by("block", "longest").alias("block")).select("dim", "block")
     none = F.lit(None).cast("array<struct<query_id:long,bound:double>>").alias("bounds")
     first = search(asked.join(buckets.join(longest, ["dim", "block"]), "dim").select(
         "dim", "q_ids", "q_vectors", none, "ids", "vectors"), k)
     ranked = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    bounds = first.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") == k).select(
+        "query_id", F.col("score").cast("double").alias("bound"))
     with batches_of(spark, BLOCKS_AT_A_TIME):
-        bounds = keep(first.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") == k)
-                      .select("query_id", F.col("score").cast("double").alias("bound")), "bounds")
-    members = asked.select("q_block", F.explode("q_ids").alias("query_id")).distinct()
-    bounds = members.join(bounds, "query_id").groupBy("q_block").agg(
-        F.collect_list(F.struct("query_id", "bound")).alias("bounds"))  # at most query_rows of them
-    # every query block meets every bucket of its dimension; a pair's rows are dealt by the pair
-    deal = (asked.select("dim", "q_block").join(buckets.select("dim", "block"), "dim")
-            .repartition("q_block", "block"))
-    pairs = deal.join(asked.join(bounds, "q_block", "left"), ["dim", "q_block"]).join(buckets, ["dim", "block"])
+        bounds = keep(block_bounds(asked, bounds), "bounds")
+    # a pair's rows are dealt by the pair
+    deal = meetings(bounds, buckets).repartition("q_block", "block")
+    pairs = deal.join(asked.join(bounds.select("q_block", "bounds"), "q_block"), ["dim", "q_block"]).join(buckets, ["dim", "block"])
     with batches_of(spark, BLOCKS_AT_A_TIME):
         found = keep(search(pairs.select("dim", "q_ids", "q_vectors", "bounds", "ids", "vectors"), k), "found")
     drop_kept(buckets)

@@ -177,6 +177,28 @@ def test_bucket_pruning_loses_nothing(seed, dim, spread):
         assert [(-s, j) for j, s in zip(found, scores)] == want
 
 
+def test_short_buckets_are_not_sent(spark):
+    """On spread norms most pairs of blocks go before the vectors move; every
+    pair with a true result stays."""
+    rng = np.random.default_rng(8)
+    x = np.abs(rng.normal(size=(600, 6))) * np.exp(rng.normal(size=(600, 1)) * 2)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    rows = topk.quantized(df, "vec_id", "embedding", 256)
+    buckets = topk.blocks(rows, 30).cache()
+    asked = topk.blocks(rows.where("id % 20 = 0"), 10).selectExpr(
+        "dim", "block q_block", "ids q_ids", "norms q_norms").cache()
+    want = brute_topk(np.floor(256 * x).astype(int), list(range(600)), range(0, 600, 20), 5)
+    bounds = spark.createDataFrame([(q, float(found[-1][1])) for q, found in want.items()], "query_id long, bound double")
+    met = {(r.q_block, r.block) for r in topk.meetings(topk.block_bounds(asked, bounds), buckets).collect()}
+    block = {i: r.block for r in buckets.collect() for i in r.ids}
+    q_block = {i: r.q_block for r in asked.collect() for i in r.q_ids}
+    assert {(q_block[q], block[i]) for q, found in want.items() for i, _ in found} <= met
+    assert len(met) < 0.5 * asked.count() * buckets.count()
+    some = bounds.where("query_id <> 0")  # a query without a bound meets all
+    met = {(r.q_block, r.block) for r in topk.meetings(topk.block_bounds(asked, some), buckets).collect()}
+    assert {b for q, b in met if q == q_block[0]} == set(block.values())
+
+
 def brute_targets(sizes, weights, most):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
