@@ -31,7 +31,6 @@ from .minhash import word_hashes
 
 FEATURES = 256
 FOLDS = 5
-FIT_TASKS = 16
 RIDGE = 1.0
 BINS = 512
 CLIP = 5.0  # of a standardised statistic
@@ -100,8 +99,8 @@ class Features:
 
 
 def normal_equations(rows: DataFrame, features: Features) -> list[np.ndarray]:
-    """Per fold the matrix [Z'Z | Z'y]; each task sums its rows, a row of the
-    matrix at a time is then summed over the tasks."""
+    """Per fold the matrix [Z'Z | Z'y]; each task sums the rows that it reads,
+    a row of the matrix at a time is then summed over the tasks."""
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = {}
         for batch in batches:
@@ -115,7 +114,7 @@ def normal_equations(rows: DataFrame, features: Features) -> list[np.ndarray]:
     def total(group: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"fold": group["fold"][:1], "i": group["i"][:1], "row": [np.sum(group["row"].to_list(), axis=0)]})
     schema, n = "fold int, i int, row array<double>", FEATURES + 1
-    parts = rows.select("x", "y", "fold").repartition(FIT_TASKS).mapInPandas(part, schema)
+    parts = rows.select("x", "y", "fold").mapInPandas(part, schema)
     out = [np.zeros((n, n + 1)) for _ in range(FOLDS)]
     for r in parts.groupBy("fold", "i").applyInPandas(total, schema).collect():  # FOLDS * (FEATURES + 1) rows
         out[r["fold"]][r["i"]] = r["row"]
@@ -159,11 +158,23 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def learnable(labels: DataFrame, label: str = "quality") -> DataFrame:
+    """doc_id and y, the mean label, of the documents that may be learned from."""
+    return labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(
+        F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg(F.col(label).cast("double")).alias("y")).where(~held_out())
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """doc_id and text of the documents that may be learned from: a fit alone
+    needs the statistics of no others."""
+    ids = learnable(labels, label).select(F.col("doc_id").alias("_known"))
+    return docs.select("doc_id", "text").join(ids, F.col("doc_id").cast("long") == F.col("_known"), "left_semi")
+
+
 def fit(stats: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
-    """``stats`` (doc_id, x) of the documents, ``labels`` (doc_id, ``label``)."""
-    known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy(
-        F.col("doc_id").cast("long").alias("doc_id")).agg(F.avg(F.col(label).cast("double")).alias("y"))
-    rows = keep(stats.where(~held_out()).join(known, "doc_id").withColumn(
+    """``stats`` (doc_id, x) of the documents, or of those in ``labelled``,
+    ``labels`` (doc_id, ``label``)."""
+    rows = keep(stats.join(learnable(labels, label), "doc_id").withColumn(
         "fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int")), "labelled")
     sums = rows.agg(*[f(F.col("x")[i]).alias(f"{f.__name__}{i}") for i in range(N_STATISTICS) for f in (F.avg, F.stddev_pop)]).first()
     if sums["avg0"] is None:

@@ -49,6 +49,18 @@ def test_quality_never_learns_from_held_out_labels(spark, stats):
     assert a == b
 
 
+def test_quality_fit_reads_labelled_texts_only(spark, stats):
+    """The statistics of the documents that may be learned from give the model
+    that those of all documents give."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    clash = docs.withColumn("_known", F.lit(1)).withColumn("y", F.lit(2))
+    some = quality.labelled(clash.unionByName(clash.limit(3).withColumn("doc_id", F.lit(None).cast("long"))), labels)
+    assert {r.doc_id for r in some.collect()} == {r.doc_id for r in docs.join(labels.where("quality IS NOT NULL"), "doc_id").where(~quality.held_out()).collect()}
+    a, b = quality.fit(stats, labels), quality.fit(quality.document_statistics(some), labels)
+    x = np.stack([r.x for r in stats.collect()])
+    assert np.allclose(a(x), b(x), atol=1e-6)
+
+
 def test_quality_without_labels(spark, stats):
     none = table(spark, SF, "labels").limit(0)
     assert {r.score for r in quality.score_statistics(stats.limit(20), quality.fit(stats, none)).collect()} == {0.5}
