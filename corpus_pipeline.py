@@ -22,16 +22,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from kassa.llm import line_dedup, minhash, mixing, packing, quality
-from kassa.llm.common import drop_kept, keep, small_batches, table, whole_row
+from kassa.llm.common import keep, small_batches, table, whole_row
 from kassa.llm.queries import bpe_encoder
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of 0.5 or more).
     The model is fitted on the labelled documents among ``docs``."""
-    stats = keep(quality.document_statistics(docs), "statistics")
-    model = quality.fit(stats, table(spark, sf_dir, "labels"))
-    drop_kept(stats)
+    labels = table(spark, sf_dir, "labels")
+    model = quality.fit(quality.document_statistics(quality.labelled(docs, labels)), labels)
     small_batches(spark)
     return docs.where(quality.text_score(model)(F.coalesce("text", F.lit(""))) >= 0.5)
 
