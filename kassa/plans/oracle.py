@@ -542,6 +542,20 @@ def sql_files_round_trip():
     return sql_final_sale_price()
 
 
+def sql_staging_discovered():
+    return sql_scan_parquet()
+
+
+def sql_inferred_dimension():
+    return """SELECT CAST(p_partkey AS INTEGER) AS tax_cd, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS tax_name,
+       CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) AS tax_per,
+       'int' AS tax_cd_type, 'string' AS tax_name_type, 'double' AS tax_per_type FROM part"""
+
+
+def sql_curate_audit():
+    return f"SELECT *, TRUE AS stamps_equal, TRUE AS stamped_by_run FROM ({sql_final_sale_price()}) AS curated"
+
+
 def sql_flatten_nested():
     return sql_scan_parquet()
 

@@ -253,6 +253,32 @@ def q_files_round_trip(spark, d):
                                   "conversion_rate", "lineitem_finalsaleprice"))
 
 
+def q_staging_discovered(spark, d):
+    """Staged rows under one prefix at several depths, beside files of another
+    kind; a prefix that holds none of them and one that isn't there give no
+    input."""
+    base, st = scratch_path(spark, "discovered"), staged(spark, d)
+    late = F.col("RetailTxnData_StorePos") > "3"
+    st.filter(~late).write.parquet(f"{base}/stage")
+    st.filter(late).write.parquet(f"{base}/stage/deep/er")
+    st.filter(late).write.json(f"{base}/stage/other")
+    found = [files.read_staging(spark, f"{base}/{prefix}") for prefix in ("stage", "stage/other", "missing")]
+    if found[1] is not None or found[2] is not None:
+        raise ValueError("input found under a prefix without any")
+    return found[0]
+
+
+def q_inferred_dimension(spark, d):
+    """A dimension as CSV whose types are inferred, and the types; an empty
+    field is NULL."""
+    path = scratch_path(spark, "tax")
+    testmap.table(spark, d, "part").select(
+        F.col("p_partkey").alias("tax_cd"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_name")).alias("tax_name"),
+        F.col("p_retailprice").cast("decimal(12,2)").alias("tax_per")).write.option("header", True).csv(path)
+    got = files.read_csv(spark, path)
+    return got.select("*", *[F.lit(t).alias(f"{c}_type") for c, t in got.dtypes])
+
+
 # -- enrichment -------------------------------------------------------------
 
 def q_enrich_currency(spark, d):
@@ -401,6 +427,16 @@ def q_load_summary(spark, d):
     return comparable(batch.load_job(spark, st.filter(late), *dims, path, money="decimal", on_ambiguous="latest"))
 
 
+def q_curate_audit(spark, d):
+    """Curated rows with audit stamps, both those of the run that wrote them."""
+    begin = spark.range(1).select(F.current_timestamp()).first()[0]
+    rows = materialize(batch.curate(staged(spark, d), *testmap.dims(spark, d), money="decimal", as_of=AS_OF, audit=True), "audit")
+    return comparable(rows.select(
+        "invoiceno", "storeno", "lineitem_stockcode", "lineitem_saleprice", "discount_value", "conversion_rate", "lineitem_finalsaleprice",
+        (F.col("create_ts") == F.col("update_ts")).alias("stamps_equal"),
+        F.col("create_ts").between(F.lit(begin), F.current_timestamp()).alias("stamped_by_run")))
+
+
 def q_load_incremental(spark, d):
     """Two drops into the staging folder, a load after each and one more that
     finds nothing new: the summaries of the batches."""
@@ -417,7 +453,7 @@ def q_load_incremental(spark, d):
 # -- nested payloads ------------------------------------------------------------
 
 def q_flatten_nested(spark, d):
-    return nested.flatten(testmap.nested_documents(staged(spark, d)))
+    return nested.flatten(materialize(testmap.nested_documents(staged(spark, d)), "nested"))
 
 
 def q_explode_items(spark, d):

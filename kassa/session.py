@@ -64,10 +64,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The application's own folder in the checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), f"run-{spark.sparkContext.applicationId}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint folder for materialised tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{os.urandom(6).hex()}")
+    """A fresh sub-folder of the run folder for materialised tables."""
+    return os.path.join(run_folder(spark), f"{name}-{os.urandom(6).hex()}")
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete the run folder, once the results that read it have been used."""
+    _delete(spark, run_folder(spark))
 
 
 def materialize(df, name: str):
@@ -85,6 +94,9 @@ def materialize(df, name: str):
 def discard(df) -> None:
     """Delete the folder behind a frame that ``materialize`` returned, once
     nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch)
+    _delete(df.sparkSession, df.scratch)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
