@@ -14,9 +14,13 @@
    to all not yet reached, and the links are exact.
 5. Components of the exact links, by alternating large-star and small-star.
 
-Large buckets and components are cut into blocks of bounded size; every pair
-of blocks is a unit of work of its own, so no task gets a whole hot group and
-no link between blocks is lost.
+The members of a large bucket or component are first compared with a few
+pivots of it; members linked with the same pivot form a class and needn't be
+compared with each other. The classes, and the members no pivot reached, are
+cut into blocks of bounded size; every pair of blocks is a unit of work of its
+own, but for two blocks of one class. So no task gets a whole hot group, no
+link between blocks is lost, and a group whose members resemble a pivot takes
+work linear in its size.
 
 Defined results: a null text is the empty text; a text without words has an
 empty set and is linked with nothing; a text of fewer words than a shingle has
@@ -42,6 +46,8 @@ BAND_ROWS = 4
 MISSED = 1e-6
 BUCKET_BLOCK, BUCKET_SPREAD = 4096, 256          # signatures: most of a block, fewest of a group that is cut
 SET_BLOCK, SET_SPREAD = 1_000_000, 50_000        # the same in shingles
+PIVOTS, HOT_MEMBERS, HOT_SLICE = 4, 256, 128     # of a large group; fewest members of one; members that meet its pivots in a task
+NO_CLASS = -1
 PIECE_BYTES = 4_000_000   # of a text that is hashed at a time
 
 U = np.uint64
@@ -163,6 +169,64 @@ def in_blocks(members: DataFrame, size: str, most: int, spread: int) -> DataFram
             .where((F.col("_n") == 1) | (F.col("i") < F.col("j"))).drop("_n", "_own", "_other"))
 
 
+def pivot_slices(members: DataFrame, group: str, most: int) -> DataFrame:
+    """Rows of large groups (columns ``group``, rep, weight, n members, total
+    weight) dealt to slices, each with a copy of the group's pivots, whose
+    column ``pivot`` is their number; that of members is ``NO_CLASS``."""
+    slices = F.greatest(F.ceil(F.col("n") / HOT_SLICE), F.ceil(F.col("total") / most))
+    drawn = [F.min_by("rep", F.xxhash64("rep", F.lit(p))) for p in range(PIVOTS)]
+    pivots = members.groupBy(group).agg(F.array_distinct(F.array(*drawn)).alias("pivots"), F.first(slices).alias("slices"))
+    copies = pivots.select(group, F.posexplode("pivots").alias("pivot", "rep"), "slices").select(
+        group, F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "rep", F.lit(0).alias("weight"), "pivot")
+    return members.select(group, F.pmod(F.xxhash64("rep"), slices).alias("slice"), "rep", "weight", F.lit(NO_CLASS).alias("pivot")).union(copies)
+
+
+def class_blocks(classed: DataFrame, group: str, most: int, spread: int) -> DataFrame:
+    """Deals the members of large groups (columns ``group``, rep, weight,
+    class) to pairs of blocks, as ``in_blocks`` does, but for pairs of blocks
+    of one class, whose members are linked already."""
+    parts = classed.groupBy(group, "class").agg(F.sum("weight").alias("part"))
+    sums = parts.groupBy(group).agg(F.sum("part").alias("total"), F.array_sort(F.collect_list(F.struct("class", "part"))).alias("parts"))  # at most PIVOTS + 1
+    blocks = F.greatest(F.ceil(F.col("total") / most), F.ceil(F.sqrt(F.col("total") / spread)))
+    layout = sums.where((F.size("parts") > 1) | (F.col("parts")[0]["class"] == NO_CLASS)).select(group, F.flatten(F.transform(
+        "parts", lambda p: F.array_repeat(p["class"], F.ceil(p["part"] * blocks / F.col("total")).cast("int")))).alias("blocks"))
+    numbers = F.sequence(F.lit(0), F.size("blocks") - 1)
+    mine = F.filter(numbers, lambda x: F.get("blocks", x) == F.col("class"))
+    met = classed.join(layout, group).withColumn("_own", F.get(mine, F.pmod(F.xxhash64("rep"), F.size(mine)).cast("int")))
+    others = F.filter(numbers, lambda x: (x != F.col("_own")) & ((F.col("class") == NO_CLASS) | (F.get("blocks", x) != F.col("class"))))
+    met = met.withColumn("_other", F.explode(F.when(F.size("blocks") == 1, F.array("_own")).otherwise(others)))
+    return met.select(group, F.least("_own", "_other").cast("long").alias("i"), F.greatest("_own", "_other").cast("long").alias("j"), "rep", "class")
+
+
+def with_pivots(members: DataFrame, group: str, payload: DataFrame, near, most: int, spread: int) -> tuple[DataFrame, DataFrame]:
+    """Groups whose members are (``group``, rep, weight), of one or more rows
+    each: the links with pivots of large groups, and the blocks (``group``, i,
+    j, rep, class) to compare. ``payload`` holds rep and data, and
+    ``near(list of data)`` gives the test of ``forest``."""
+    sizes = members.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("total"))
+    sized = keep(members.join(sizes.where("n > 1"), group).select(group, "rep", "weight", "n", "total"), "members")
+    hot = F.col("n") > HOT_MEMBERS
+    usual = in_blocks(sized.where(~hot), "total", most, spread).select(group, "i", "j", "rep", F.lit(NO_CLASS).alias("class"))
+    keys = [group, "slice"]
+
+    def classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in groups(batches, keys):
+            at, rep, weight, pivot = bounds_of(frame, keys), *(frame[c].to_numpy() for c in ("rep", "weight", "pivot"))
+            for a, b in zip(at[:-1], at[1:]):
+                test, heads, rest = near(frame["data"].iloc[a:b]), np.flatnonzero(pivot[a:b] != NO_CLASS), np.flatnonzero(pivot[a:b] == NO_CLASS)
+                for p in heads[np.argsort(pivot[a:b][heads])]:
+                    hit = test(p, rest)
+                    yield pd.DataFrame({group: frame[group].iloc[a], "rep": rep[a + rest[hit]], "weight": weight[a + rest[hit]],
+                                        "class": pivot[a + p], "pivot": rep[a + p]})
+                    rest = rest[~hit]
+                yield pd.DataFrame({group: frame[group].iloc[a], "rep": rep[a + rest], "weight": weight[a + rest], "class": NO_CLASS, "pivot": rep[a + rest]})
+    slices = pivot_slices(sized.where(hot), group, most).join(payload, "rep").select(*keys, "pivot", "rep", "weight", "data")
+    met = keep(slices.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(
+        classes, f"{group} long, rep long, weight long, class int, pivot long"), "classes")
+    links = met.where("rep <> pivot").select(F.col("rep").alias("u"), F.col("pivot").alias("v")).distinct()
+    return links, usual.union(class_blocks(met, group, most, spread))
+
+
 def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """Consecutive rows with the same keys, from sorted batches: frames of one
     or more whole groups."""
@@ -209,21 +273,37 @@ def forest(n: int, near) -> list[tuple[int, int]]:
 LINKS = "u long, v long"
 
 
+def same_class(near, classes: np.ndarray):
+    """``near``, or linked already by a pivot of both."""
+    if (classes == NO_CLASS).all():
+        return near
+    return lambda i, rest: near(i, rest) | ((classes[rest] == classes[i]) & (classes[i] != NO_CLASS))
+
+
+def agreeing(low: np.ndarray, agree: int):
+    """Test of ``forest`` on rows of minima."""
+    return lambda i, rest: (low[rest] == low[i]).sum(1) >= agree
+
+
+def rows_of(minima) -> np.ndarray:
+    return np.frombuffer(b"".join(minima), np.uint8).reshape(len(minima), -1)
+
+
 def bucket_links(members: DataFrame, agree: int) -> DataFrame:
-    """Signature verification: key, i, j, rep, minima, sorted -> forest links."""
+    """Signature verification: key, i, j, rep, class, data (minima), sorted ->
+    forest links."""
     keys = ["key", "i", "j"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in groups(batches, keys):
-            at, rep = bounds_of(frame, keys), frame["rep"].to_numpy()
-            low = np.frombuffer(b"".join(frame["minima"]), np.uint8).reshape(len(frame), -1)
+            at, rep, classes = bounds_of(frame, keys), frame["rep"].to_numpy(), frame["class"].to_numpy()
+            low = rows_of(frame["data"])
             size = np.diff(at)
             two = at[:-1][size == 2]
             two = two[(low[two] == low[two + 1]).sum(1) >= agree]
             out = [(rep[two], rep[two + 1])]
             for a, n in zip(at[:-1][size > 2], size[size > 2]):
-                s = low[a:a + n]
-                links = forest(n, lambda i, rest, s=s: (s[rest] == s[i]).sum(1) >= agree)
+                links = forest(n, same_class(agreeing(low[a:a + n], agree), classes[a:a + n]))
                 if links:
                     u, v = np.array(links).T
                     out.append((rep[a + u], rep[a + v]))
@@ -231,8 +311,8 @@ def bucket_links(members: DataFrame, agree: int) -> DataFrame:
     return members.mapInPandas(run, LINKS)
 
 
-def exact_links(sets: list[np.ndarray], numerator: int, denominator: int) -> list[tuple[int, int]]:
-    """Forest of the pairs with denominator * intersection >= numerator * union."""
+def resembling(sets: list[np.ndarray], numerator: int, denominator: int):
+    """Test of ``forest``: denominator * intersection >= numerator * union."""
     size = np.array([len(x) for x in sets])
     shingles, number, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = times[number] > 1  # the others only count in the sizes
@@ -247,28 +327,36 @@ def exact_links(sets: list[np.ndarray], numerator: int, denominator: int) -> lis
         mark[number[first[i]:first[i + 1]]] = False
         both = hits[first[rest + 1]] - hits[first[rest]]
         return denominator * both >= numerator * (size[i] + size[rest] - both)
-    return forest(len(sets), near)
+    return near
 
 
-def verified_links(members: DataFrame, k: int, numerator: int, denominator: int) -> DataFrame:
-    """component, i, j, rep, _text -> exact links, by full shingle sets."""
-    keys = ["component", "i", "j"]
+def sets_of(data) -> list[np.ndarray]:
+    return [np.frombuffer(x, U) for x in data]
+
 
-    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
+    """rep, _text -> rep, data: the full shingle set."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch["set"] = [shingle_set(t, k).tobytes() for t in batch.pop("_text")]
+            batch["data"] = [shingle_set(t, k).tobytes() for t in batch.pop("_text")]
             yield batch
+    return texts.select("rep", "_text").mapInPandas(run, "rep long, data binary")
+
+
+def verified_links(members: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """component, i, j, rep, class, data (full shingle sets), sorted -> exact
+    links."""
+    keys = ["component", "i", "j"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in groups(batches, keys):
-            at, rep, out = bounds_of(frame, keys), frame["rep"].to_numpy(), []
-            sets = [np.frombuffer(x, U) for x in frame["set"]]
+            at, rep, classes, out = bounds_of(frame, keys), frame["rep"].to_numpy(), frame["class"].to_numpy(), []
+            sets = sets_of(frame["data"])
             for a, b in zip(at[:-1], at[1:]):
-                out += [(rep[a + u], rep[a + v]) for u, v in exact_links(sets[a:b], numerator, denominator)]
+                links = forest(b - a, same_class(resembling(sets[a:b], numerator, denominator), classes[a:b]))
+                out += [(rep[a + u], rep[a + v]) for u, v in links]
             yield pd.DataFrame(out, columns=["u", "v"]).astype("int64")
-    sets = members.select(*keys, "rep", "_text").mapInPandas(
-        shingled, "component long, i long, j long, rep long, set binary")
-    return sets.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, LINKS)
+    return members.mapInPandas(run, LINKS)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 80, denominator: int = 100) -> DataFrame:
@@ -282,20 +370,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, numerator: int = 80, denominato
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
         F.first("minima").alias("minima")).where("rep is not null"), "representatives")
 
-    in_bands = reps.select("rep", F.explode("keys").alias("key"))
-    buckets = in_bands.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = in_blocks(in_bands.join(buckets, "key"), "n", BUCKET_BLOCK, BUCKET_SPREAD)
-    met = shared.select("key", "i", "j", "rep").join(reps.select("rep", "minima"), "rep")
-    near = keep(bucket_links(met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"), hashes.agree)
-                .distinct(), "near")
+    def compared(blocks: DataFrame, keys: list[str], payload: DataFrame) -> DataFrame:
+        rows = blocks.join(payload, "rep").select(*keys, "rep", "class", "data")
+        return rows.repartition(*keys).sortWithinPartitions(*keys)
+
+    in_bands = reps.select(F.explode("keys").alias("key"), "rep", F.lit(1).alias("weight"))
+    minima, agree = reps.select("rep", F.col("minima").alias("data")), hashes.agree
+    by_pivot, blocks = with_pivots(in_bands, "key", minima, lambda data: agreeing(rows_of(data), agree), BUCKET_BLOCK, BUCKET_SPREAD)
+    near = keep(bucket_links(compared(blocks, ["key", "i", "j"], minima), agree).union(by_pivot).distinct(), "near")
     nearby = keep(connected_components(near), "nearby")
 
-    weight = nearby.join(reps.select("rep", "n"), nearby["node"] == reps["rep"]).groupBy("component").agg(F.sum("n").alias("n"))
-    members = in_blocks(nearby.withColumnRenamed("node", "rep").join(weight, "component"), "n", SET_BLOCK, SET_SPREAD)
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), text_of().alias("_text"))
-    links = keep(verified_links(texts.join(members.hint("shuffle_hash"), "rep"), k, numerator, denominator), "links")
+    members = nearby.withColumnRenamed("node", "rep").join(reps.select("rep", F.col("n").alias("weight")), "rep")
+    sets = keep(shingle_sets(texts.join(nearby.select(F.col("node").alias("rep")).hint("shuffle_hash"), "rep"), k), "sets")
+    by_pivot, blocks = with_pivots(members, "component", sets, lambda data: resembling(sets_of(data), numerator, denominator), SET_BLOCK, SET_SPREAD)
+    links = keep(verified_links(compared(blocks, ["component", "i", "j"], sets), numerator, denominator).union(by_pivot).distinct(), "links")
     found = keep(connected_components(links), "components")
-    for done in (near, nearby, links):
+    for done in (near, nearby, sets, links):
         drop_kept(done)
 
     classes = reps.select("set_id", "rep").join(found, reps["rep"] == found["node"], "left").select(

@@ -59,10 +59,11 @@ def near_copies(rng):
     return texts + [None, "", "one", "ONE", "two words"]
 
 
-@pytest.mark.parametrize("blocks", [(4096, 256, 1_000_000, 50_000), (3, 2, 200, 100)])
+@pytest.mark.parametrize("blocks", [(4096, 256, 1_000_000, 50_000, 256, 128), (3, 2, 200, 100, 256, 128), (3, 2, 200, 100, 3, 4), (4096, 256, 1_000_000, 50_000, 9, 5)])
 def test_near_duplicates(spark, monkeypatch, blocks):
-    """The same result whether hot buckets and components are cut into blocks or not."""
-    for name, value in zip(("BUCKET_BLOCK", "BUCKET_SPREAD", "SET_BLOCK", "SET_SPREAD"), blocks):
+    """The same result whether hot buckets and components are cut into blocks
+    or not, and met by pivots first or not."""
+    for name, value in zip(("BUCKET_BLOCK", "BUCKET_SPREAD", "SET_BLOCK", "SET_SPREAD", "HOT_MEMBERS", "HOT_SLICE"), blocks):
         monkeypatch.setattr(minhash, name, value)
     texts = near_copies(random.Random(4))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
@@ -77,6 +78,29 @@ def test_near_duplicates(spark, monkeypatch, blocks):
     assert got == {i: (len(s), want[i], want[i] == i) for i, s in enumerate(sets)}
 
 
+def test_pivots_leave_little_of_a_hot_group(spark):
+    """Members that resemble a pivot meet the others no more: rows to compare
+    grow with the group's size. A chain, of which no pivot sees much, is
+    compared in blocks as a whole, so no link of it is lost."""
+    n = 3000
+    members = spark.range(n).selectExpr("7L as key", "id as rep", "1 as weight")
+    data = lambda f: spark.createDataFrame([(i, f(i)) for i in range(n)], "rep long, data binary")
+
+    def run(f, agree):
+        near = lambda x: minhash.agreeing(minhash.rows_of(x), agree)
+        links, blocks = minhash.with_pivots(members, "key", data(f), near, 4096, 256)
+        rows = blocks.join(data(f), "rep").select("key", "i", "j", "rep", "class", "data").sortWithinPartitions("key", "i", "j")
+        found = minhash.bucket_links(rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"), agree)
+        edges = [(r.u, r.v) for r in links.union(found).collect()]
+        return blocks.count(), set(joined(edges, range(n)).values())
+    rows, parts = run(lambda i: bytes([1] * 9 + [i % 251]), 9)
+    assert rows == 0 and parts == {0}
+    rows, parts = run(lambda i: bytes([1] * 9 + [i % 251]) if i % 500 else bytes([2] * 10), 9)
+    assert rows <= 2 * n and parts == {0, 1}
+    rows, parts = run(lambda i: i.to_bytes(2, "big") + (i + 1).to_bytes(2, "big"), 4)
+    assert rows >= n and parts == set(range(n))
+
+
 def test_word_hashes_do_not_depend_on_pieces(monkeypatch):
     rng = random.Random(5)
     text = "".join(rng.choice("abÉ漢 \n\t\x0b") for _ in range(5000)) + "x" * 9000 + " " + "x" * 9001
