@@ -47,6 +47,7 @@ MISSED = 1e-6
 BUCKET_BLOCK, BUCKET_SPREAD = 4096, 256          # signatures: most of a block, fewest of a group that is cut
 SET_BLOCK, SET_SPREAD = 1_000_000, 50_000        # the same in shingles
 PIVOTS, HOT_MEMBERS, HOT_SLICE = 4, 256, 128     # of a large group; fewest members of one; members that meet its pivots in a task
+HOT_SPREAD = 16                                  # as the other spreads, in members of a group that met its pivots: most copies fall away
 NO_CLASS = -1
 PIECE_BYTES = 4_000_000   # of a text that is hashed at a time
 
@@ -184,10 +185,11 @@ def pivot_slices(members: DataFrame, group: str, most: int) -> DataFrame:
 def class_blocks(classed: DataFrame, group: str, most: int, spread: int) -> DataFrame:
     """Deals the members of large groups (columns ``group``, rep, weight,
     class) to pairs of blocks, as ``in_blocks`` does, but for pairs of blocks
-    of one class, whose members are linked already."""
-    parts = classed.groupBy(group, "class").agg(F.sum("weight").alias("part"))
-    sums = parts.groupBy(group).agg(F.sum("part").alias("total"), F.array_sort(F.collect_list(F.struct("class", "part"))).alias("parts"))  # at most PIVOTS + 1
-    blocks = F.greatest(F.ceil(F.col("total") / most), F.ceil(F.sqrt(F.col("total") / spread)))
+    of one class, whose members are linked already. Blocks are smaller than
+    there, as few members have more than one other block to meet."""
+    parts = classed.groupBy(group, "class").agg(F.sum("weight").alias("part"), F.count(F.lit(1)).alias("n"))
+    sums = parts.groupBy(group).agg(F.sum("part").alias("total"), F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("class", "part"))).alias("parts"))  # at most PIVOTS + 1
+    blocks = F.greatest(F.ceil(F.col("total") / most), F.ceil(F.sqrt(F.col("total") / spread)), F.ceil(F.sqrt(F.col("n") / HOT_SPREAD)))
     layout = sums.where((F.size("parts") > 1) | (F.col("parts")[0]["class"] == NO_CLASS)).select(group, F.flatten(F.transform(
         "parts", lambda p: F.array_repeat(p["class"], F.ceil(p["part"] * blocks / F.col("total")).cast("int")))).alias("blocks"))
     numbers = F.sequence(F.lit(0), F.size("blocks") - 1)
