@@ -35,6 +35,10 @@ _UNORDERABLE = ("map<", "variant")
 #: of all rows is among them.
 SKETCH_ITEMS, SKETCH_TOP, SKETCH_ERROR = 4096, 1024, 4
 
+#: Range partitions of the hot rows, unless they would hold more than
+#: RANGE_ROWS rows each. The driver gets some 300 sampled rows for each of them.
+MAX_RANGES, RANGE_ROWS = 256, 4_000_000
+
 
 def _ordering(df: DataFrame, keys: list[str], order: list[str], descending: bool,
               tiebreak: bool) -> list[Column]:
@@ -75,6 +79,8 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
                the input (which evaluates it once more; implied by
                ``sample_fraction``) and writes it only if there are some; "off"
                always uses the plain window.
+    rows_per_task: rows of a range partition, more where that would make over
+               ``MAX_RANGES`` partitions.
     hot_keys:  keys known to be hot (tuples in ``keys`` order, or a frame of
                key columns), e.g. the fill placeholders; skips the sampling
                pass. The rest of the keys take the plain window.
@@ -96,7 +102,7 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
         base, hot, est_rows = _observed(df, keys, hot_key_rows)
         if hot is None:
             return base.drop("_uid", "_k").withColumn(column, F.row_number().over(w))
-        n_parts = max(2, math.ceil(est_rows / rows_per_task))
+        n_parts = _ranges(est_rows, rows_per_task)
         heavy = base.join(hot, "_k", "left_semi").select(*df.columns, "_uid")
         light = base.join(hot, "_k", "left_anti").select(*df.columns).withColumn(column, F.row_number().over(w))
         return light.unionByName(_number_by_range(heavy, keys, [*ordering, F.col("_uid")], column, n_parts).drop("_uid"))
@@ -111,7 +117,7 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
     base = materialize(df.withColumn("_uid", F.monotonically_increasing_id()), "marked")
     light = base.join(hot, _null_safe_on(base, hot, keys), "left_anti").drop("_uid")
     heavy = base.join(hot, _null_safe_on(base, hot, keys), "left_semi")
-    n_parts = max(2, math.ceil(est_rows / rows_per_task))
+    n_parts = _ranges(est_rows, rows_per_task)
     return (light.withColumn(column, F.row_number().over(w))
             .unionByName(_number_by_range(heavy, keys, [*ordering, F.col("_uid")], column, n_parts).drop("_uid")))
 
@@ -161,6 +167,13 @@ def _given_hot_keys(df: DataFrame, keys: list[str], hot_keys, rows_per_task: int
     return hot_df, float(parts * rows_per_task)
 
 
+def _ranges(rows: float, rows_per_task: int) -> int:
+    """Number of range partitions. It doesn't follow ``rows_per_task`` beyond
+    ``MAX_RANGES``: the bounds of ranges are found on the driver, from sampled
+    rows in proportion to their number."""
+    return max(2, min(math.ceil(rows / rows_per_task), max(MAX_RANGES, math.ceil(rows / RANGE_ROWS))))
+
+
 def _number_by_range(heavy: DataFrame, keys: list[str], ordering: list[Column],
                      column: str, n_parts: int) -> DataFrame:
     """Exact ``row_number`` for hot keys without one task per key.

@@ -132,3 +132,24 @@ def test_coarse_sketch_counts_the_written_keys(spark, monkeypatch):
 
 def test_observed_marks_of_an_empty_table(spark):
     assert mark_duplicates(frame(spark, []), KEYS, "ts").count() == 0
+
+
+def test_number_of_ranges_is_bounded(spark, monkeypatch):
+    """However small ``rows_per_task``, the driver samples for a bounded number
+    of ranges, and the marks stay those of the plain window."""
+    from kassa.operators import dedup
+    assert dedup._ranges(36_000_000, 2000) == dedup.MAX_RANGES
+    assert dedup._ranges(20_000_000_000, 2000) == 5000 and dedup._ranges(10, 2000) == 2
+    ranges, real = [], type(spark.range(1)).repartitionByRange
+
+    def kept(df, n, *cols):
+        ranges.append(n)
+        return real(df, n, *cols)
+    monkeypatch.setattr(dedup, "MAX_RANGES", 4)
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", kept)
+    df = spark.range(3000).select((F.col("id") % 3).cast("string").alias("k1"), F.lit(1).cast("long").alias("k2"),
+                                  (F.col("id") % 50).cast("string").alias("ts"), F.col("id").alias("v"), F.lit("x").alias("w"))
+    split = mark_duplicates(df, KEYS, "ts", hot_key_rows=10, rows_per_task=10)
+    plain = mark_duplicates(df, KEYS, "ts", skew="off")
+    assert plain.exceptAll(split).count() == 0 and split.count() == 3000
+    assert ranges == [4]
