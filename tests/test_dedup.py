@@ -153,3 +153,33 @@ def test_number_of_ranges_is_bounded(spark, monkeypatch):
     plain = mark_duplicates(df, KEYS, "ts", skew="off")
     assert plain.exceptAll(split).count() == 0 and split.count() == 3000
     assert ranges == [4]
+
+
+def _some_repeated(spark, share):
+    """Keys of which ``share`` percent of the rows have one that comes twice,
+    some of them NULL, and rows that are the same in full."""
+    odd = F.col("id") % 100 < share
+    return spark.range(4000).select(
+        F.when(odd & (F.col("id") % 100 == 0), F.lit(None)).when(odd, (F.col("id") % 50).cast("string"))
+        .otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k1"), F.lit(1).cast("long").alias("k2"),
+        (F.col("id") % 7).cast("string").alias("ts"), (F.col("id") % 3).alias("v"), F.lit("x").alias("w"))
+
+
+def test_only_repeated_keys_are_ranked(spark):
+    """Rows alone with their key stay where they lie; the marks and the latest
+    rows are those of the plain window, with few and with many repeated keys."""
+    from kassa.session import materialize
+    for share in (0, 5, 60):
+        df = materialize(_some_repeated(spark, share), "some-repeated")
+        plain = mark_duplicates(df, KEYS, "ts", skew="off")
+        got = mark_duplicates(df, KEYS, "ts")
+        assert plain.exceptAll(got).count() == 0 and got.count() == 4000
+        assert got.schema["rownumber"].dataType == plain.schema["rownumber"].dataType
+        latest = mark_duplicates(df, KEYS, "ts", keep="latest", written=True)
+        want = plain.filter("rownumber = 1")
+        assert latest.exceptAll(want).count() == 0 and latest.count() == want.count()
+        for frame in (got, latest):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert ("LeftAnti" in plan and "Union" in plan) == (share < 60)
+    none = materialize(_some_repeated(spark, 5).limit(0), "none")
+    assert mark_duplicates(none, KEYS, "ts", keep="latest", written=True).count() == 0

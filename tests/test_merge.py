@@ -203,3 +203,33 @@ def test_upserts_leave_no_scratch(spark, tmpdir_path):
     for v in "ab":
         upsert_partitioned(spark, df(spark, [(1, "A", 2020, v, "1")]), path, ALL, PARTS)
     assert set(os.listdir(base)) == before
+
+
+def test_pruned_merge_joins_touched_values_only(spark):
+    """Target rows of regions without updates take no part in the join; NULL
+    keys stay and come again."""
+    schema = "id long, region string, v string"
+    target = spark.createDataFrame([(1, "a", "old"), (2, "a", "old"), (3, "b", "old"), (None, "a", "old"), (4, None, "old"), (5, "", "old")], schema)
+    updates = spark.createDataFrame([(1, "a", "new"), (None, "a", "new"), (4, None, "new"), (6, "c", "new"), (3, "a", "new")], schema)
+    for null_safe in (False, True):
+        plain = merge_frames(target, updates, ["id", "region"], null_safe)
+        pruned = merge_frames(target, updates, ["id", "region"], null_safe, prune=["region"])
+        key = lambda r: tuple(map(str, r))
+        assert sorted(map(key, pruned.collect())) == sorted(map(key, plain.collect()))
+    none = merge_frames(target, updates.limit(0), ["id", "region"], prune=["region"])
+    assert none.count() == 6
+    with pytest.raises(ValueError):
+        merge_frames(target, updates, ["id", "region"], prune=["v"])
+
+
+def test_written_updates_are_not_written_again(spark, tmpdir_path, monkeypatch):
+    from kassa.session import materialize
+    from kassa.sinks import tables
+    names, real = [], tables.materialize
+    monkeypatch.setattr(tables, "materialize", lambda df, name, *more: names.append(name) or real(df, name, *more))
+    rows = materialize(spark.createDataFrame([(1, "a", 2020, "x", "1"), (1, "a", 2020, "y", "2")],
+                                             "id long, region string, invoice_year int, v string, sourcets string"), "rows")
+    path = os.path.join(tmpdir_path, "t")
+    for _ in range(2):
+        tables.upsert_partitioned(spark, rows, path, ["id", "region", "invoice_year"], on_ambiguous="latest", written=True)
+    assert names == [] and [r.v for r in spark.read.parquet(path).collect()] == ["y"]
