@@ -1,0 +1,33 @@
+"""The monthly summary: distinct counts and sums in one pass."""
+
+from decimal import Decimal
+
+from kassa.operators.aggregate import monthly_store_sales
+
+KEYS = ["region", "storeno"]
+SCHEMA = "region string, storeno string, invoiceno long, lineitem_stockcode string, lineitem_quantity double, lineitem_finalsaleprice decimal(38,2)"
+ROWS = [("A", "1", 7, "x", 1.0, Decimal("1.10")), ("A", "1", 7, "x", 1.0, Decimal("1.10")), ("A", "1", 8, "x", 2.0, None),
+        ("A", "1", None, None, 4.0, Decimal("0.05")), (None, "1", None, "y", None, None), ("B", None, 9, None, float("nan"), Decimal("2.00")),
+        ("B", None, 9, "z", 1.0, Decimal("3.00"))]
+
+
+def test_summary_with_nulls_and_repeated_rows(spark):
+    got = monthly_store_sales(spark.createDataFrame(ROWS, SCHEMA), KEYS)
+    assert dict(got.dtypes) == {"region": "string", "storeno": "string", "num_invoices": "bigint", "stock_count": "bigint",
+                                "total_quantity": "double", "total_sales": "decimal(38,2)"}
+    rows = {r.region: tuple(r)[1:] for r in got.collect()}
+    assert rows["A"] == ("1", 2, 1, 8.0, Decimal("2.25")) and rows[None] == ("1", 0, 1, None, None)
+    assert rows["B"][:3] == (None, 1, 1) and rows["B"][3] != rows["B"][3] and rows["B"][4] == Decimal("5.00")
+
+
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def test_a_row_is_copied_twice_only(spark):
+    got = monthly_store_sales(spark.createDataFrame(ROWS, SCHEMA), KEYS)
+    copies = [n.projections().size() for n in _nodes(got._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "Expand"]
+    assert copies == [2]
