@@ -10,16 +10,23 @@ code, no Python per record.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from kassa.session import CHUNKED_BASE64
+
 CORRUPT = "_corrupt_record"
 
 
 def base64_text(text) -> "Column":
     """Standard base64 of UTF-8 text on one line. Spark 4 wraps ``base64()``
-    output every 76 characters by default; the transport format does not."""
-    return F.replace(F.base64(F.encode(text, "UTF-8")), F.lit("\r\n"), F.lit(""))
+    output every 76 characters by default; the transport format does not.
+    Where the session turns that off, as ``RECOMMENDED_CONF`` does, there are
+    no line breaks to look for."""
+    encoded, session = F.base64(text.cast("binary")), SparkSession.getActiveSession()
+    if session is not None and session.conf.get(CHUNKED_BASE64, "true") == "false":
+        return encoded
+    return F.replace(encoded, F.lit("\r\n"), F.lit(""))
 
 
 def decode_payload(df: DataFrame, column: str = "data", alias: str = "payload") -> DataFrame:

@@ -86,3 +86,20 @@ def test_failfast_raises_on_malformed(spark):
     df = spark.createDataFrame([("{bad",)], "payload string")
     with pytest.raises(Exception):
         nested.parse_json(df, transaction_schema(), mode="FAILFAST").collect()
+
+
+def test_base64_text_on_one_line_without_a_search_for_breaks(spark):
+    import base64
+    from kassa.session import CHUNKED_BASE64, RECOMMENDED_CONF
+    texts = ["", "é" * 200, "x" * 57, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    want = [None if t is None else base64.b64encode(t.encode()).decode() for t in texts]
+    before = spark.conf.get(CHUNKED_BASE64)
+    try:
+        for chunked in ("true", RECOMMENDED_CONF[CHUNKED_BASE64]):
+            spark.conf.set(CHUNKED_BASE64, chunked)
+            out = df.select("id", nested.base64_text(F.col("t")).alias("b"))
+            assert [r["b"] for r in out.orderBy("id").collect()] == want
+            assert ("replace(" in out._jdf.queryExecution().analyzed().toString()) == (chunked == "true")
+    finally:
+        spark.conf.set(CHUNKED_BASE64, before)
