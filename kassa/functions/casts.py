@@ -22,10 +22,34 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _first_letter(t: Column) -> Column:
+    """Texts from 'A' up to, not including, '{', in the order of their bytes."""
+    return (t >= "A") & (t < "{")
+
+
+def _number(t: Column, kind: str) -> Column:
+    """``try_cast`` of a text to a floating or decimal type. A cast that fails
+    raises and catches errors for each row, which takes longer than all the
+    rest of the typing; texts that plainly are no number don't get that far:
+    empty ones, those with a comma and those that begin with a letter other
+    than that of NaN and Infinity."""
+    word = _first_letter(t) & ~F.substring(t, 1, 1).isin("N", "n", "I", "i")
+    return F.when(~((t == "") | word | F.contains(t, F.lit(","))), t.try_cast(kind))
+
+
 def lenient_long(c: ColumnOrName) -> Column:
     """``CAST(x AS BIGINT)`` as non-ANSI Spark does it: '12.9' -> 12,
-    '1e3' / 'abc' / '' / overflow -> NULL."""
+    '1e3' / 'abc' / '' / overflow -> NULL. As in ``_number``, texts that
+    plainly give NULL aren't cast: empty ones, words, and whole numbers of 20
+    digits or more that begin with none of 0."""
     t = F.trim(_col(c))
+    # between a first and a last digit only digits or a point can be cast
+    huge = ((F.length(t) >= 20) & (t >= "1") & (t < ":") & F.substring(t, -1, 1).between("0", "9")
+            & ~F.contains(t, F.lit(".")))
+    return F.when(~((t == "") | _first_letter(t) | huge), _long(t))
+
+
+def _long(t: Column) -> Column:
     plain = t.try_cast("bigint")
     sign = F.regexp_extract(t, _INTEGRAL, 1)
     digits = F.regexp_extract(t, _INTEGRAL, 2)
@@ -39,12 +63,12 @@ def lenient_long(c: ColumnOrName) -> Column:
 
 def lenient_double(c: ColumnOrName) -> Column:
     """``CAST(x AS DOUBLE)``; invalid text -> NULL, 'NaN' -> NaN."""
-    return F.trim(_col(c)).try_cast("double")
+    return _number(F.trim(_col(c)), "double")
 
 
 def lenient_float(c: ColumnOrName) -> Column:
     """``CAST(x AS FLOAT)`` (32-bit); invalid text -> NULL."""
-    return F.trim(_col(c)).try_cast("float")
+    return _number(F.trim(_col(c)), "float")
 
 
 def lenient_timestamp(c: ColumnOrName) -> Column:
@@ -63,7 +87,7 @@ def money(c: ColumnOrName, mode: str = "float") -> Column:
     ``mode='decimal'`` is exact ``decimal(12,2)``."""
     s = strip_currency(c)
     if mode == "float":
-        return s.try_cast("float")
+        return _number(s, "float")
     if mode == "decimal":
-        return s.try_cast("decimal(12,2)")
+        return _number(s, "decimal(12,2)")
     raise ValueError(f"unknown money mode {mode!r}")

@@ -54,3 +54,25 @@ def test_sql_functions_agree_with_the_column_expressions(spark, ansi):
     rows = df.selectExpr("x", "kassa_long(x) AS l", "kassa_double(x) AS d", "kassa_money(x) AS m").collect()
     want = df.select("x", lenient_long("x").alias("l"), lenient_double("x").alias("d"), money("x", "decimal").alias("m")).collect()
     assert [str(r) for r in rows] == [str(r) for r in want]
+
+
+def test_texts_that_are_no_number_are_not_cast(spark, ansi):
+    """Plain casts of the same texts give the same, also for odd numbers."""
+    texts = ["", "many", "Zed", "_1", "{1", "inf", "-Infinity", "nan", "iffy", "0x1p3", "5d", "5f", "\t5", "5\t", "\x7f5", "é", "1,2", ",", "1e400",
+             "99999999999999999999", "00000000000000000007", "+0000000000000000000007", "12345678901234567890.5", "5" + "\t" * 20 + "5", "-99999999999999999999"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    plain = F.trim("s")
+    got = df.select(casts.lenient_long("s").alias("l"), casts.lenient_double("s").alias("d"), casts.lenient_float("s").alias("f"), casts.money("s", "decimal").alias("m"))
+    want = df.select(plain.try_cast("double").alias("d"), plain.try_cast("float").alias("f"), plain.try_cast("decimal(12,2)").alias("m"))
+    assert [tuple(map(str, r[1:])) for r in got.collect()] == [tuple(map(str, r)) for r in want.collect()]
+    longs = [r.l for r in got.collect()]
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert longs == [r[0] for r in df.select(plain.cast("bigint")).collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+    assert "contains" in got._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_code_is_generated_in_methods_that_are_compiled(spark):
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
