@@ -27,12 +27,13 @@ are ranked. Where many do, all rows take the window.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from kassa.plans.sizing import bounded_rows
 from kassa.schemas import DEDUP_KEYS
-from kassa.session import checkpoint_dir, materialize
+from kassa.session import materialize
 
 _UNORDERABLE = ("map<", "variant")
 
@@ -45,6 +46,10 @@ SKETCH_ITEMS, SKETCH_TOP, SKETCH_ERROR = 4096, 1024, 4
 #: RANGE_ROWS rows each. The driver gets some 300 sampled rows for each of them.
 MAX_RANGES, RANGE_ROWS = 256, 4_000_000
 
+#: Number of range partitions up to which each is read back by a task of its own;
+#: a scan would pack the files of small ones.
+FEW_RANGES = 16
+
 #: Repeated keys up to which, and the share of rows with such keys below which,
 #: only these rows are sent for ranking. The keys' hashes are broadcast.
 MAX_REPEATED, REPEATED_SHARE = 1_000_000, 1 / 8
@@ -136,7 +141,7 @@ def mark_duplicates(df: DataFrame, keys: list[str] | None = None,
         return df.withColumn(column, F.row_number().over(w))
     # The input is evaluated once more, into a table; the light and the heavy
     # part are read from it. ``_uid`` tells identical rows apart.
-    base = materialize(df.withColumn("_uid", F.monotonically_increasing_id()), "marked")
+    base = materialize(df.withColumn("_uid", F.monotonically_increasing_id()), "marked", "zstd")
     light = base.join(hot, _null_safe_on(base, hot, keys), "left_anti").drop("_uid")
     heavy = base.join(hot, _null_safe_on(base, hot, keys), "left_semi")
     n_parts = _ranges(est_rows, rows_per_task)
@@ -192,9 +197,11 @@ def _given_hot_keys(df: DataFrame, keys: list[str], hot_keys, rows_per_task: int
 def _split_repeated(base: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """The rows whose ``_k`` no other row has, and the others; None where the
     latter are too many to be treated apart."""
-    repeated = materialize(base.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1), "repeated")
+    seen = Observation()
+    counted = base.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("n"))
+    repeated = materialize(counted.filter(F.col("_n") > 1), "repeated")
     keys, rows = repeated.agg(F.count(F.lit(1)), F.sum("_n")).first()
-    if keys > MAX_REPEATED or (rows or 0) > base.count() * REPEATED_SHARE:
+    if keys > MAX_REPEATED or (rows or 0) > (seen.get["n"] or 0) * REPEATED_SHARE:
         return None
     few = F.broadcast(repeated.select("_k"))
     return base.join(few, "_k", "left_anti"), base.join(few, "_k", "left_semi")
@@ -213,17 +220,19 @@ def _number_by_range(heavy: DataFrame, keys: list[str], ordering: list[Column],
 
     Range-partition on (keys, ordering) so a hot key spans several tasks, sort
     inside each partition, tag rows with partition id and a position. The
-    tagged rows are checkpointed so the position and the per-partition counts
-    come from one and the same materialisation. Row number = rows of the key
+    tagged rows are written as a table so the position and the per-partition counts
+    come from one and the same materialisation (a checkpoint would hold them
+    unpacked, in several times the room). Row number = rows of the key
     in earlier partitions + position inside the partition.
     """
-    checkpoint_dir(heavy.sparkSession)
     sort_cols = [F.col(k).asc_nulls_first() for k in keys] + ordering
-    tagged = (heavy.repartitionByRange(n_parts, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    few = n_parts <= FEW_RANGES
+    tagged = materialize(heavy.repartitionByRange(n_parts, *sort_cols)
+                         .sortWithinPartitions(*sort_cols)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_pos", F.monotonically_increasing_id()), "ranges", "zstd", by="_pid" if few else None)
+    if few:
+        tagged = reduce(DataFrame.unionByName, [tagged.where(F.col("_pid") == i) for i in range(n_parts)])
     stats = (tagged.groupBy(*keys, "_pid")
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(
